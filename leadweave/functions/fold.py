@@ -1,0 +1,70 @@
+"""Folding of "writing": white space, invisible characters, letter case, punctuation, Unicode encodings.
+
+ASCII values stay in the JVM; only values with other characters travel to an Arrow-batched Python function.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+NON_ASCII = r"[^\x00-\x7F]"
+#: Turkish dotless i and the capital with a dot lose the difference under plain upper/lower casing.
+_DOTS = str.maketrans({"ı": "i", "İ": "i"})
+
+
+@lru_cache(1 << 14)
+def canon_word(s: str) -> str:
+    """Letters and digits of ``s``, case folded, NFKC; accents stay."""
+    s = unicodedata.normalize("NFKC", s).translate(_DOTS).casefold()
+    return "".join(c for c in unicodedata.normalize("NFC", s) if c.isalnum())
+
+
+@lru_cache(1 << 14)
+def visible(s: str) -> str:
+    """``s`` lower case and NFKC without white space and invisible characters; punctuation stays."""
+    s = unicodedata.normalize("NFKC", s).translate(_DOTS).casefold()
+    return "".join(c for c in unicodedata.normalize("NFC", s) if not c.isspace() and unicodedata.category(c)[0] not in "CZ")
+
+
+def strip_marks(s: str) -> str:
+    """``s`` case folded, without accents, every run of other characters one blank; invisible characters vanish."""
+    s = unicodedata.normalize("NFKD", s.translate(_DOTS)).casefold()
+    s = "".join(c if c.isalnum() else " " for c in s if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
+    return " ".join(s.split())
+
+
+def unmojibake(s: str) -> str:
+    """Undo UTF-8 bytes read as Windows-1252, in either letter case; ``s`` itself if it isn't that."""
+    if re.search(r"[ÃãÂâÄäÅå][^\sA-Za-z]", s):
+        for t in (s, re.sub(r"[ãâäå](?=[^\sA-Za-z])", lambda m: m[0].upper(), s)):
+            for enc in ("cp1252", "latin-1"):
+                try:
+                    return t.encode(enc).decode("utf-8")
+                except UnicodeError:
+                    pass
+    return s
+
+
+def _vector(f):
+    return F.pandas_udf(lambda s: pd.Series([None if x is None else f(x) for x in s], dtype=object), "string")
+
+
+def _ascii_or(c: Column, ascii_expr: Column, f) -> Column:
+    odd = c.rlike(NON_ASCII)
+    return F.when(odd, _vector(f)(F.when(odd, c))).otherwise(ascii_expr)
+
+
+def canon(c: Column) -> Column:
+    """Column form of :func:`canon_word`; NULL becomes ''."""
+    return F.coalesce(_ascii_or(c, F.regexp_replace(F.lower(c), "[^a-z0-9]", ""), canon_word), F.lit(""))
+
+
+def visible_col(c: Column) -> Column:
+    """Column form of :func:`visible`; NULL becomes ''."""
+    return F.coalesce(_ascii_or(c, F.regexp_replace(F.lower(c), r"[\x00-\x20\x7F]", ""), visible), F.lit(""))
