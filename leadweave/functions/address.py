@@ -1,0 +1,42 @@
+"""Canonical mail addresses and hosts, as columns: what is left of an address when its writing is taken away."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from leadweave.constants import PLACEHOLDERS
+from leadweave.functions.fold import visible_col
+
+#: Punctuation that may enclose or follow an address.
+AROUND = "\"'`´‘’“”„«»‹›<>()[]{}.,;:!?*|…"
+
+
+def bare(c: Column) -> Column:
+    """``c`` without white space, invisible characters, ``mailto:`` and enclosing punctuation, lower case; '' if missing."""
+    v = F.trim(visible_col(c), F.lit(AROUND))
+    v = F.trim(F.regexp_replace(v, r"\Amailto:", ""), F.lit(AROUND))
+    return F.when(v.isin(*PLACEHOLDERS), "").otherwise(v)
+
+
+def is_mail(v: Column) -> Column:
+    """A bare address with an ``@`` before any slash."""
+    return v.rlike(r"\A[^/@]*@")
+
+
+def mail_of(v: Column) -> Column:
+    """The bare value as a mail address, '' if it is none."""
+    return F.when(is_mail(v), v).otherwise("")
+
+
+def host_of(v: Column) -> Column:
+    """The host of a bare web address: no scheme, user, leading ``www.``, port, path or final dot; '' for a mail address."""
+    h = F.regexp_replace(v, r"\A[a-z][a-z0-9+.-]*:/+", "")
+    h = F.regexp_replace(F.regexp_replace(h, r"[/?#\\].*\z", ""), r"(:[0-9]*)?\.*\z", "")
+    return F.when(is_mail(v), "").otherwise(F.regexp_replace(h, r"\Awww\.", ""))
+
+
+def canon_address(c: Column) -> Column:
+    """``m:address`` or ``w:host``, '' if missing."""
+    v = bare(c)
+    return F.when(v == "", "").when(is_mail(v), F.concat(F.lit("m:"), v)).otherwise(F.concat(F.lit("w:"), host_of(v)))
