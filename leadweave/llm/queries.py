@@ -43,3 +43,29 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """The report: values that denote no entry, with their number of rows."""
     return _p1(spark, d).filter("ref_id < 0").groupBy("src", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ------------------------------------------------------------------ 3: duplicates hidden by formatting
+
+
+def _p3(spark: SparkSession, d: str):
+    from leadweave.llm import ledger as lg
+    from leadweave.session import cut
+
+    rows = cut(lg.keyed(spark, d), "keys")
+    return rows, *lg.replay(rows)
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every row that isn't the first of its group of copies."""
+    rows, ledger, total = _p3(spark, d)
+    return ledger.copies(rows, total).filter("id <> first_id").select("src", "first_id", F.col("id").alias("row_id"))
+
+
+@query
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    """One row a record: its first row and its number of copies."""
+    rows, ledger, _ = _p3(spark, d)
+    firsts = rows.select("src", "key", F.col("id").alias("first_id"))
+    return firsts.join(ledger.read(), ["key", "first_id"]).select("src", "first_id", F.col("n").alias("n_copies"))
