@@ -69,3 +69,32 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     rows, ledger, _ = _p3(spark, d)
     firsts = rows.select("src", "key", F.col("id").alias("first_id"))
     return firsts.join(ledger.read(), ["key", "first_id"]).select("src", "first_id", F.col("n").alias("n_copies"))
+
+
+# ------------------------------------------------------------------ 7: test texts in training text
+
+
+def _p7(spark: SparkSession, d: str) -> DataFrame:
+    from leadweave.llm.leakage import leaks
+
+    return leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
+
+
+@query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the test item of which it holds a third or more."""
+    return _p7(spark, d).select("doc_id", "item_id").distinct()
+
+
+@query
+def p7_passages(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the share covered and the longest verbatim match with its places."""
+    return _p7(spark, d)
+
+
+@query
+def p7_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that stay when those with test texts are removed."""
+    from leadweave.llm.leakage import without_leaks
+
+    return without_leaks(table(spark, d, "documents").select("doc_id", "source"), _p7(spark, d))
