@@ -98,3 +98,28 @@ def p7_clean(spark: SparkSession, d: str) -> DataFrame:
     from leadweave.llm.leakage import without_leaks
 
     return without_leaks(table(spark, d, "documents").select("doc_id", "source"), _p7(spark, d))
+
+
+# ------------------------------------------------------------------ 8: sources to target weights
+
+
+def _p8(spark: SparkSession, d: str):
+    from leadweave.llm import mixture as mx
+
+    sized = mx.sizes(table(spark, d, "documents").select("doc_id", "source", "text"))
+    planned = mx.plan(sized, table(spark, d, "mix_targets"))
+    return mx.mix(sized, planned), planned
+
+
+@query
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Every copy of a document in the mixture."""
+    return _p8(spark, d)[0]
+
+
+@query
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares reached."""
+    from leadweave.llm.mixture import shares
+
+    return shares(*_p8(spark, d))
