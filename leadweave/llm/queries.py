@@ -123,3 +123,34 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     from leadweave.llm.mixture import shares
 
     return shares(*_p8(spark, d))
+
+
+# ------------------------------------------------------------------ 9: abusive, hateful or sexual content
+
+
+def _p9(spark: SparkSession, d: str) -> DataFrame:
+    from leadweave.llm.safety import score
+
+    return score(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with language of a kind."""
+    from leadweave.llm.safety import THRESHOLD
+
+    return _p9(spark, d).filter(F.col("score") >= THRESHOLD).select("doc_id", "kind").distinct()
+
+
+@query
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Score and evidence of every document and kind."""
+    return _p9(spark, d)
+
+
+@query
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rates per source."""
+    from leadweave.llm.safety import rates
+
+    return rates(_p9(spark, d))
