@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadweave.constants import PLACEHOLDERS
-from leadweave.functions.fold import visible_col
+from leadweave.functions.fold import visible, visible_col
 
 #: Punctuation that may enclose or follow an address.
 AROUND = "\"'`´‘’“”„«»‹›<>()[]{}.,;:!?*|…"
@@ -40,3 +43,28 @@ def canon_address(c: Column) -> Column:
     """``m:address`` or ``w:host``, '' if missing."""
     v = bare(c)
     return F.when(v == "", "").when(is_mail(v), F.concat(F.lit("m:"), v)).otherwise(F.concat(F.lit("w:"), host_of(v)))
+
+
+# The same in Python, for operators that work on batches anyway.
+
+_SCHEME, _AFTER, _PORT = re.compile(r"\A[a-z][a-z0-9+.-]*:/+"), re.compile(r"[/?#\\].*\Z", re.S), re.compile(r"(?::[0-9]*)?\.*\Z")
+_AT = re.compile(r"[^/@]*@")
+
+
+@lru_cache(1 << 14)
+def bare_text(value: str | None) -> str:
+    """:func:`bare` of one value."""
+    v = visible(value or "").strip(AROUND)
+    if v.startswith("mailto:"):
+        v = v[7:].strip(AROUND)
+    return "" if v in PLACEHOLDERS else v
+
+
+def host_text(v: str) -> str:
+    """:func:`host_of` of one bare value."""
+    return "" if not v or _AT.match(v) else _PORT.sub("", _AFTER.sub("", _SCHEME.sub("", v)), count=1).removeprefix("www.")
+
+
+def mail_text(v: str) -> str:
+    """:func:`mail_of` of one bare value."""
+    return v if _AT.match(v) else ""
