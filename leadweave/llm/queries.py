@@ -154,3 +154,15 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     from leadweave.llm.safety import rates
 
     return rates(_p9(spark, d))
+
+
+# ------------------------------------------------------------------ 6: new batches against all history
+
+
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every lead that is known from the sent log, the campaign file or an earlier batch."""
+    from leadweave.llm import known as kn
+
+    providers = kn.provider_hosts(table(spark, d, "mail_providers"))
+    return kn.known_leads(table(spark, d, "leads"), table(spark, d, "sent_log"), table(spark, d, "firmalar"), providers)
