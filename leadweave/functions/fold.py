@@ -18,9 +18,14 @@ NON_ASCII = r"[^\x00-\x7F]"
 _DOTS = str.maketrans({"ı": "i", "İ": "i"})
 
 
+_NOT_WORD, _HIDDEN = re.compile(r"[^a-z0-9]+"), re.compile(r"[\x00-\x20\x7F]+")
+
+
 @lru_cache(1 << 14)
 def canon_word(s: str) -> str:
     """Letters and digits of ``s``, case folded, NFKC; accents stay."""
+    if s.isascii():
+        return _NOT_WORD.sub("", s.lower())
     s = unicodedata.normalize("NFKC", s).translate(_DOTS).casefold()
     return "".join(c for c in unicodedata.normalize("NFC", s) if c.isalnum())
 
@@ -28,12 +33,16 @@ def canon_word(s: str) -> str:
 @lru_cache(1 << 14)
 def visible(s: str) -> str:
     """``s`` lower case and NFKC without white space and invisible characters; punctuation stays."""
+    if s.isascii():
+        return _HIDDEN.sub("", s.lower())
     s = unicodedata.normalize("NFKC", s).translate(_DOTS).casefold()
     return "".join(c for c in unicodedata.normalize("NFC", s) if not c.isspace() and unicodedata.category(c)[0] not in "CZ")
 
 
 def strip_marks(s: str) -> str:
     """``s`` case folded, without accents, every run of other characters one blank; invisible characters vanish."""
+    if s.isascii():
+        return " ".join(_NOT_WORD.split(s.lower())).strip()
     s = unicodedata.normalize("NFKD", s.translate(_DOTS)).casefold()
     s = "".join(c if c.isalnum() else " " for c in s if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
     return " ".join(s.split())
