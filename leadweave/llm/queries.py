@@ -166,3 +166,29 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
     providers = kn.provider_hosts(table(spark, d, "mail_providers"))
     return kn.known_leads(table(spark, d, "leads"), table(spark, d, "sent_log"), table(spark, d, "firmalar"), providers)
+
+
+# ------------------------------------------------------------------ 5: variant spellings of names
+
+
+def _p5(spark: SparkSession, d: str) -> DataFrame:
+    from leadweave.llm import firms
+    from leadweave.llm.known import provider_hosts
+    from leadweave.llm.variants import name_classes
+
+    rows = firms.source_rows(spark, d, ("leads", "firmalar", "incoming_list"))
+    return name_classes(rows, provider_hosts(table(spark, d, "mail_providers")))
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of rows whose names are spelled differently and mean the same firm."""
+    from leadweave.llm.variants import variant_pairs
+
+    return variant_pairs(_p5(spark, d))
+
+
+@query
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The class of every row with a readable name."""
+    return _p5(spark, d).select("src", F.col("id").alias("row_id"), "label")
