@@ -1,11 +1,15 @@
 """Deduplicating new batches against all history: a persistent index of minwise band keys.
 
-The distinctive part of an address (a host's name, or the local part at a shared provider) is cut into words. Band
-keys hash the minwise values of one word's letter pairs together with the other words as they stand, or of all words;
-words without a border use bands of three minwise values. Every key is stored with the entry's number and its signature (the parity of
-each letter's count, and a hash of the digits and marks), partitioned by a hash of the key. A batch probes only the
-partitions that its own keys fall into: candidates must share a key, then their signatures must be within the reach
-of two slips, then the texts are compared by edit distance. Accepted entries' keys are appended to the partitions.
+The distinctive part of an address (a host's name, or the local part at a shared provider) is cut into words, a word
+into its pieces, beginning and end. A band key hashes one of the least minwise values of a word's pieces together
+with the other words as they stand; as many values are kept as a word has pieces, so one slip on either side always
+leaves a common key. A text without borders between words has its long pieces as keys. Every key is stored with the
+entry's number and its signature (the parity of each letter's count, and a hash of the digits and marks),
+partitioned by a hash of the key. A batch probes only what its own keys can meet: the partitions they fall into and,
+inside these, the fine buckets marked in a bitmap of fixed size. Candidates share a key, then their signatures must
+be within the reach of two slips, then the texts are compared by edit distance. Accepted entries' keys are appended.
+
+Only a text with a word that isn't established can hold a slip, so only such texts probe.
 
 Entries carry ``since``, their order of arrival, so batches that arrive later can be told about earlier ones in one
 pass as well as one by one.
@@ -18,9 +22,11 @@ whole; empty history knows nothing.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,21 +37,31 @@ from leadweave.functions.edit import damerau
 from leadweave.session import cut, work_path
 
 SLIPS = 2  # one on each side
-ANCHORED, CROSSED, LOOSE_BANDS, LOOSE_ROWS = 5, 2, 16, 3
-#: A word that stands in so many entries is a word of its own and no slip.
-ESTABLISHED = 4
+#: A word that stands in so many entries, and in more than one of ``SHARE``, is a word of its own and no slip. There
+#: are at most ``SHARE`` times the words of an entry such words, so they can travel with the tasks.
+ESTABLISHED, SHARE = 4, 50_000
+#: Fine buckets of the bitmap that a batch marks: 4 MB, whatever the batch.
+FINE = 1 << 25
 
 
 def _h(text: str, seed: int) -> int:
     return xxhash.xxh64_intdigest(text, seed)
 
 
+def pieces(word: str) -> set[str]:
+    """Beginnings and ends, of three letters or, in short words, of two: one edit leaves one of them."""
+    out = set()
+    if len(word) >= 6:
+        out |= {word[:3] + "<", ">" + word[-3:]}
+    if len(word) <= 7:
+        out |= {word[:2] + "<", ">" + word[-2:]}
+    return out
+
+
 @lru_cache(1 << 16)
-def minwise(word: str, n: int, size: int = 2) -> tuple[int, ...]:
-    """``n`` minwise values of the word's letter runs of ``size``, with its ends marked."""
-    w = f"^{word}$"
-    grams = {w[k : k + size] for k in range(max(1, len(w) - size + 1))}
-    return tuple(min(_h(g, s) for g in grams) for s in range(n))
+def minwise(word: str, n: int = 4) -> tuple[int, ...]:
+    """The ``n`` least hashes of the word's pieces."""
+    return tuple(sorted(_h(p, 0) for p in pieces(word))[:n])
 
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -55,18 +71,14 @@ def band_keys(kind: str, text: str) -> list[int]:
     """The band keys of a text, signed 64 bits each."""
     w = _LETTERS.findall(text)
     frame = kind + _LETTERS.sub("a", text)
-    out = set()
     if len(w) >= 2:
-        for i, x in enumerate(w):
-            rest = f"{frame} {i} " + " ".join(w[:i] + w[i + 1 :])
-            for b, m in enumerate(minwise(x, ANCHORED)):
-                out.add(_h(f"{rest} {m}", b))
-        for b in range(CROSSED):
-            out.add(_h(frame + " " + " ".join(str(minwise(x, ANCHORED)[b]) for x in w), 100 + b))
+        out = {_h(f"{frame} {i} {m} " + " ".join(w[:i] + w[i + 1 :]), 1) for i, x in enumerate(w) for m in minwise(x)}
     else:
-        m = minwise(text, LOOSE_BANDS * LOOSE_ROWS, 3)
-        for b in range(LOOSE_BANDS):
-            out.add(_h(f"{frame} {m[b * LOOSE_ROWS : (b + 1) * LOOSE_ROWS]}", 200 + b))
+        # of a slip in the last, the first or the middle part, one of three long pieces doesn't notice
+        n = len(text)
+        sizes = {-(-6 * (n + d) // 10) for d in (-1, 0, 1)}
+        out = {_h(f"{frame} {p}", 2) for k in sizes for p in (text[:k] + "<", ">" + text[-k:])}
+        out |= {_h(f"{frame} {text[:k]}<>{text[-k:]}", 2) for k in {(n + d) // 3 for d in (-1, 0, 1)} if k}
     return [k - (1 << 64) if k >= 1 << 63 else k for k in out]
 
 
@@ -96,11 +108,15 @@ class BandIndex:
         self.spark, self.path, self.buckets, self.steps = spark, path or work_path(spark, "bands"), buckets, 0
 
     @staticmethod
-    def keys(entries: DataFrame) -> DataFrame:
+    def keys(entries: DataFrame, established: frozenset[str] | None = None) -> DataFrame:
+        """Keys of all entries or, with ``established``, of those that can hold a slip."""
+
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 key, ids, sig = [], [], []
                 for i, k, t in zip(pdf["id"], pdf["kind"], pdf["text"], strict=True):
+                    if established is not None and all(w in established for w in _LETTERS.findall(t)):
+                        continue
                     own = band_keys(k, t)
                     key += own
                     ids += [i] * len(own)
@@ -110,13 +126,16 @@ class BandIndex:
         return entries.select("id", "kind", "text").mapInPandas(run, BandIndex.SCHEMA)
 
     def bucket(self) -> Column:
-        return F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.col("key"), F.lit(self.buckets)).cast("int")
 
     def append(self, entries: DataFrame) -> None:
-        """Add the keys of accepted entries to their partitions."""
+        """Add the keys of accepted entries to their partitions. Tasks write to the partitions themselves, without a
+        shuffle, as long as that makes no more than some thousand files."""
         self.steps += 1
         rows = self.keys(entries).withColumn("bucket", self.bucket())
-        rows.repartition(min(self.buckets, 16), "bucket").write.partitionBy("bucket").parquet(f"{self.path}/step={self.steps}")
+        if entries.rdd.getNumPartitions() > 256:
+            rows = rows.repartition(self.buckets * 16, "bucket", F.pmod("key", F.lit(self.buckets * 16)))
+        rows.write.partitionBy("bucket").parquet(f"{self.path}/step={self.steps}")
 
     def read(self, buckets=None) -> DataFrame:
         if not self.steps:
@@ -130,17 +149,32 @@ class BandIndex:
         x = a.bitwiseXOR(b)
         return (F.shiftright(x, 26) == 0) & (F.bit_count(x) <= 2 * SLIPS)
 
-    def candidates(self, probes: DataFrame | None = None) -> DataFrame:
-        """Pairs (``a``, ``b``) of a probe and an entry; without ``probes`` of all entries with each other, a < b."""
-        if probes is None:
-            p, q, once = self.read(), self.read(), F.col("a") < F.col("b")
-        else:
-            keys = cut(self.keys(probes), "probe")
-            touched = [r[0] for r in keys.select(self.bucket().alias("x")).distinct().collect()]
-            p, q, once = keys, self.read(touched or [-1]), F.col("a") != F.col("b")
-        p = p.select("key", F.col("id").alias("a"), F.col("sig").alias("sa"))
-        q = q.select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
-        return p.join(q, "key").filter(once & self.within_reach(F.col("sa"), F.col("sb"))).select("a", "b").distinct()
+    def candidates(self, probes: DataFrame, established: frozenset[str] = frozenset()) -> DataFrame:
+        """Pairs (``a``, ``b``) of a probe that can hold a slip and an entry."""
+        keys = cut(self.keys(probes, established), "probe")
+        fine = F.pmod(F.col("key"), F.lit(FINE))
+        marks = keys.groupBy(F.bitmap_bucket_number(fine).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(fine)).alias("m")).collect()
+        touched = [r[0] for r in keys.select(self.bucket().alias("x")).distinct().collect()]
+        bits = np.zeros(FINE // 8 + 4096, np.uint8)
+        for n, m in marks:
+            if n < 1:  # fine bucket 0, which always passes
+                continue
+            at = (n - 1) * 4096
+            bits[at : at + len(m)] |= np.frombuffer(bytes(m), np.uint8)
+        sent = self.spark.sparkContext.broadcast(bits)
+
+        @F.pandas_udf("boolean")
+        def marked(key: pd.Series) -> pd.Series:
+            # bit positions run from 0 inside a bitmap whose number starts at 1
+            k = key.to_numpy() % FINE
+            number, position = (k - 1) // 32768 + 1, (k - 1) % 32768
+            number, position = np.where(k == 0, 0, number), np.where(k == 0, 0, position)
+            byte = np.maximum(number - 1, 0) * 4096 + position // 8
+            return pd.Series((sent.value[byte] >> (position % 8).astype(np.uint8) & 1).astype(bool) | (k == 0))
+
+        p = keys.select("key", F.col("id").alias("a"), F.col("sig").alias("sa"))
+        q = self.read(touched or [-1]).filter(marked("key")).select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
+        return p.join(q, "key").filter((F.col("a") != F.col("b")) & self.within_reach(F.col("sa"), F.col("sb"))).select("a", "b").distinct()
 
 
 # ------------------------------------------------------------------ addresses
@@ -151,7 +185,10 @@ class Parser:
 
     def __init__(self, providers: list[str]):
         self.providers = providers
-        self.at_provider = lru_cache(1 << 16)(lambda host: any(damerau(host, p, 1) <= 1 for p in providers))
+        halves = [(p, p[: len(p) // 2], p[len(p) // 2 + 1 :]) for p in providers]
+        # one edit leaves one half of a host as it is
+        like = lambda host: any((host.startswith(a) or host.endswith(b)) and damerau(host, p, 1) <= 1 for p, a, b in halves)
+        self.at_provider = lru_cache(1 << 16)(like)
         self.parse = lru_cache(1 << 14)(self._parse)
 
     def mailbox(self, mail: str) -> tuple[str | None, str | None, str | None]:
@@ -203,28 +240,53 @@ def slips_col(a, b) -> Column:
     return F.pandas_udf(lambda x, y: pd.Series([slips(p, q) for p, q in zip(x, y, strict=True)], dtype="int32"), "int")(a, b)
 
 
-def near_texts(texts: DataFrame, index: BandIndex | None = None) -> DataFrame:
-    """Distinct (``kind``, ``text``) -> (``kind``, ``t1``, ``t2``) within two slips, both ways round.
+def established_words(texts: DataFrame) -> frozenset[str]:
+    """The words that stand in many entries; see ``ESTABLISHED``."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = Counter()
+        for pdf in batches:
+            for t in pdf["text"]:
+                n[""] += 1
+                n.update(set(_LETTERS.findall(t)))
+            if len(n) > 500_000:
+                yield pd.DataFrame({"w": list(n), "n": list(n.values())})
+                n = Counter()
+        yield pd.DataFrame({"w": list(n), "n": list(n.values())})
 
-    Words that differ must be slips: a word of ``ESTABLISHED`` or more entries is none, so one edit needs one side
-    that isn't established, two edits in a word need both.
-    """
+    got = texts.select("text").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    total = (got.filter("w = ''").first() or [0, 0])[1]
+    return frozenset(r[0] for r in got.filter((F.col("w") != "") & (F.col("n") >= max(ESTABLISHED, total / SHARE))).select("w").collect())
+
+
+def plausible(a: str, b: str, established: frozenset[str]) -> bool:
+    """The texts are within two slips, and what differs can be slips: a word edited once has a side that isn't
+    established, a word edited twice has two."""
+    if not a or slips(a, b) > SLIPS:
+        return False
+    for x, y in zip(_LETTERS.findall(a), _LETTERS.findall(b), strict=True):
+        if x != y and damerau(x, y) + (x in established) + (y in established) > 2:
+            return False
+    return True
+
+
+def near_texts(texts: DataFrame, index: BandIndex | None = None) -> DataFrame:
+    """Distinct (``kind``, ``text``) -> (``kind``, ``t1``, ``t2``) that are plausibly the same, both ways round."""
     numbered = cut(texts.withColumn("id", F.xxhash64("kind", "text")), "texts")
+    established = established_words(numbered)
     index = index or BandIndex(texts.sparkSession)
     index.append(numbered)
-    pairs = index.candidates()
+    pairs = index.candidates(numbered, established)
     t = numbered.select("id", "kind", "text")
     x = pairs.join(t.select(F.col("id").alias("a"), "kind", F.col("text").alias("t1")), "a").join(t.select(F.col("id").alias("b"), F.col("text").alias("t2")), "b")
-    x = cut(x.select("kind", "t1", "t2").filter(slips_col("t1", "t2") <= SLIPS), "near")
-    letters = lambda c: F.regexp_extract_all(F.col(c), F.lit(r"([^\W\d_]+)"), F.lit(1))
-    freq = numbered.select(F.explode(F.array_distinct(letters("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    diff = x.select("*", F.explode(F.arrays_zip(letters("t1").alias("w1"), letters("t2").alias("w2"))).alias("z")).select("kind", "t1", "t2", "z.w1", "z.w2").filter("w1 <> w2")
-    for k in ("1", "2"):
-        diff = diff.join(freq.select(F.col("w").alias(f"w{k}"), (F.col("n") >= ESTABLISHED).cast("int").alias(f"e{k}")), f"w{k}", "left")
-    d = slips_col("w1", "w2")
-    bad = diff.withColumn("d", d).groupBy("kind", "t1", "t2").agg(F.max((F.col("d") + F.coalesce("e1", F.lit(0)) + F.coalesce("e2", F.lit(0))) > 2).alias("bad"))
-    good = bad.filter(~F.col("bad")).select("kind", "t1", "t2")
-    return cut(good.unionByName(good.select("kind", F.col("t2").alias("t1"), F.col("t1").alias("t2"))), "good")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[[plausible(p, q, established) for p, q in zip(pdf["t1"], pdf["t2"], strict=True)]]
+
+    good = x.select("kind", "t1", "t2").mapInPandas(verify, "kind string, t1 string, t2 string")
+    good = cut(good, "good")
+    return good.unionByName(good.select("kind", F.col("t2").alias("t1"), F.col("t1").alias("t2"))).distinct()
 
 
 def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, providers: list[str]) -> DataFrame:
