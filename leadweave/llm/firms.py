@@ -47,8 +47,8 @@ class Words:
         return name_words(name), _LETTERS.findall(strip_marks(label)), _LETTERS.findall(strip_marks(text or "")), address, host
 
 
-def sides(rows: DataFrame, providers: list[str], least: int = 5, share: int = 20_000) -> tuple[frozenset[str], frozenset[str]]:
-    """(generic, strong): words that don't identify, and words that do, among the frequent ones.
+def sides(rows: DataFrame, providers: list[str], least: int = 5, share: int = 20_000) -> tuple[frozenset[str], dict[str, int]]:
+    """(generic, strong): words that don't identify, and words that do with their rows, among the frequent ones.
 
     Frequent is a word in more than one of ``share`` rows, so there are at most ``share`` times the words of a row.
     """
@@ -72,9 +72,12 @@ def sides(rows: DataFrame, providers: list[str], least: int = 5, share: int = 20
     got = rows.select("name", "email", "site").mapInPandas(count, "side string, w string, n long, both long, hit long")
     got = got.groupBy("side", "w").agg(F.sum("n").alias("n"), F.sum("both").alias("both"), F.sum("hit").alias("hit"))
     got = got.filter((F.length("w") > 2) & (F.col("n") >= max(least, total / share))).filter("both > 0")
-    found = got.select("w", (F.col("hit") < 0.5 * F.col("both")).alias("generic")).collect()
-    generic = frozenset(r[0] for r in found if r[1])
-    return generic, frozenset(r[0] for r in found if not r[1]) - generic
+    found = got.select("w", (F.col("hit") < 0.5 * F.col("both")).alias("generic"), "n").collect()
+    generic, strong = frozenset(r[0] for r in found if r[1]), {}
+    for w, g, n in found:
+        if not g and w not in generic:
+            strong[w] = strong.get(w, 0) + n
+    return generic, strong
 
 
 def near_words(a: str, b: str) -> bool:
@@ -103,7 +106,7 @@ def near_sets(x: tuple[str, ...], y: tuple[str, ...]) -> bool:
 class Reader:
     """Readings of a row, given the generic and strong words."""
 
-    def __init__(self, providers: list[str], generic: frozenset[str], strong: frozenset[str]):
+    def __init__(self, providers: list[str], generic: frozenset[str], strong):
         self.words, self.generic, self.strong = Words(providers), generic, strong
         self.read = lru_cache(1 << 14)(self._read)
 
@@ -129,7 +132,7 @@ class Reader:
         return " ".join(best), sorted(" ".join(r) for r in others), canon_word(name or ""), address, host
 
 
-def readings(rows: DataFrame, keep: list[str], providers: list[str], generic: frozenset[str], strong: frozenset[str]) -> DataFrame:
+def readings(rows: DataFrame, keep: list[str], providers: list[str], generic: frozenset[str], strong) -> DataFrame:
     """``keep`` and ``key``, ``others``, ``canon``, ``address``, ``host`` of rows with ``name``, ``email``, ``site``."""
 
     @F.pandas_udf("key string, others array<string>, canon string, address string, host string")

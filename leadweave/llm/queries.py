@@ -192,3 +192,32 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_classes(spark: SparkSession, d: str) -> DataFrame:
     """The class of every row with a readable name."""
     return _p5(spark, d).select("src", F.col("id").alias("row_id"), "label")
+
+
+# ------------------------------------------------------------------ 4: entities across sources
+
+
+def _p4(spark: SparkSession, d: str):
+    from leadweave.llm import matching as mt
+    from leadweave.llm.canonical_map import country_codes
+    from leadweave.llm.known import provider_hosts
+
+    return mt.matches(mt.matching_rows(spark, d), provider_hosts(table(spark, d, "mail_providers")), country_codes(table(spark, d, "ref_countries")))
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of rows of two tables that belong to the same firm."""
+    from leadweave.llm import matching as mt
+
+    return mt.cross_pairs(mt.firm_classes(*_p4(spark, d)))
+
+
+@query
+def p4_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Matches between records of two tables with their confidence."""
+    from leadweave.llm.matching import SOURCES
+
+    names = F.array(*[F.lit(s) for s in SOURCES])
+    m = _p4(spark, d)[1].filter("src_q <> src_d")
+    return m.select(F.element_at(names, F.col("src_q") + 1).alias("src_a"), F.col("key_q").alias("key_a"), F.element_at(names, F.col("src_d") + 1).alias("src_b"), F.col("key_d").alias("key_b"), "score", "confidence")
