@@ -42,7 +42,7 @@ def visible(s: str) -> str:
 def strip_marks(s: str) -> str:
     """``s`` case folded, without accents, every run of other characters one blank; invisible characters vanish."""
     if s.isascii():
-        return " ".join(_NOT_WORD.split(s.lower())).strip()
+        return _NOT_WORD.sub(" ", s.lower()).strip()
     s = unicodedata.normalize("NFKD", s.translate(_DOTS)).casefold()
     s = "".join(c if c.isalnum() else " " for c in s if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
     return " ".join(s.split())

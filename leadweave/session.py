@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: they needn't have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_leadweave_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    at = os.path.join(tempfile.mkdtemp(prefix="leadweave-"), "leadweave.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(root)))
+    context.addPyFile(at)
+    context._leadweave_shipped = True
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
