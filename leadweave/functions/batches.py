@@ -1,0 +1,31 @@
+"""Row functions over Arrow batches: columns that aren't touched pass through as they are."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+_ARROW = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.BooleanType(): pa.bool_(), T.IntegerType(): pa.int32()}
+
+
+def with_row_function(df: DataFrame, make: Callable[[], Callable], inputs: list[str], outputs: str, keep: list[str]) -> DataFrame:
+    """``keep`` and the columns ``outputs`` (a schema of strings, longs, ints and booleans), computed row by row.
+
+    ``make`` runs once a task and gives the function; it takes the values of ``inputs`` and returns a tuple.
+    """
+    out = T._parse_datatype_string(outputs)
+    schema = T.StructType([df.schema[c] for c in keep] + out.fields)
+    kinds = [_ARROW[f.dataType] for f in out.fields]
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for b in batches:
+            got = [f(*row) for row in zip(*[b.column(c).to_pylist() for c in inputs], strict=True)]
+            cols = zip(*got, strict=True) if got else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
+    return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(run, schema)
