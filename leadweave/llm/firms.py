@@ -9,28 +9,40 @@ any language, while surnames and branch words stay.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+import unicodedata
 from functools import lru_cache
 
-import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadweave.functions.batches import with_row_function
 from leadweave.functions.edit import damerau
 from leadweave.functions.fold import canon_word, strip_marks, unmojibake
 from leadweave.llm.known import Parser, name_label
+from leadweave.operators.components import components
 
+#: Sources in the order of their names.
+SOURCES = ("firmalar", "incoming_list", "leads", "sent_log")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+_INNER = re.compile(r"[^\W\d_][A-ZÀ-ÖØ-Þ]")
+
+
 def name_words(name: str | None) -> list[str]:
     """Words of a name without accents; a capital inside a word begins another."""
-    import unicodedata
+    t = name or ""
+    if not t.isascii():
+        t = unicodedata.normalize("NFC", unmojibake(t))
+    if _INNER.search(t):
+        t = "".join(" " + c if c.isupper() and k and t[k - 1].islower() and t[k + 1 : k + 2].islower() else c for k, c in enumerate(t))
+    return list(dict.fromkeys(w for w in strip_marks(t).split() if w.isalpha()))
+
 
-    t = unicodedata.normalize("NFC", unmojibake(name or ""))
-    t = "".join(" " + c if c.isupper() and k and t[k - 1].islower() and t[k + 1 : k + 2].islower() else c for k, c in enumerate(t))
-    return list(dict.fromkeys(w for w in strip_marks(t).split() if not any(c.isdigit() for c in w)))
+def _plain(label: str) -> str:
+    """The runs of letters of a label, joined by blanks."""
+    return " ".join(_LETTERS.findall(strip_marks(label)))
 
 
 class Words:
@@ -41,76 +53,88 @@ class Words:
         self.of = lru_cache(1 << 14)(self._of)
 
     def _of(self, name: str | None, email: str | None, site: str | None):
-        """(name words, site words, mail words, address, site)."""
+        """(name words, site words, mail words, address, site, hash of the name without writing)."""
         address, _, text, host = self.parser.parse(email, site)
         label = name_label(host) if host else ""
-        return name_words(name), _LETTERS.findall(strip_marks(label)), _LETTERS.findall(strip_marks(text or "")), address, host
+        letters = canon_word(name or "")
+        canon = xxhash.xxh64_intdigest(letters) >> 1 if letters else 0
+        return " ".join(name_words(name)), _plain(label), _plain(text or ""), address, host, canon
 
 
-def sides(rows: DataFrame, providers: list[str], least: int = 5, share: int = 20_000) -> tuple[frozenset[str], dict[str, int]]:
-    """(generic, strong): words that don't identify, and words that do with their rows, among the frequent ones.
+def words(rows: DataFrame, keep: list[str], providers: list[str]) -> DataFrame:
+    """``keep`` and ``names``, ``sites``, ``mails`` (words joined by blanks), ``address``, ``host`` and ``canon``, a
+    hash of the name without its writing (0 if there is none), of rows with ``name``, ``email``, ``site``."""
+
+    return with_row_function(rows, lambda: Words(providers).of, ["name", "email", "site"], "names string, sites string, mails string, address string, host string, canon long", keep)
 
-    Frequent is a word in more than one of ``share`` rows, so there are at most ``share`` times the words of a row.
-    """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words(providers)
-        for pdf in batches:
-            n, both, hit = Counter(), Counter(), Counter()
-            for key in set(zip(pdf["name"], pdf["email"], pdf["site"], strict=True)):
-                names, sites, mails, *_ = words.of(*key)
-                other, own = "".join(sites) + " " + "".join(mails), "".join(names)
-                for side, ws, text in (("n", names, other if len(other) > 1 else ""), ("e", set(sites) | set(mails), own)):
-                    for w in ws:
-                        n[side, w] += 1
-                        if text:
-                            both[side, w] += 1
-                            hit[side, w] += w in text
-            yield pd.DataFrame([(s, w, c, both[s, w], hit[s, w]) for (s, w), c in n.items()], columns=["side", "w", "n", "both", "hit"])
-
-    total = rows.count()
-    got = rows.select("name", "email", "site").mapInPandas(count, "side string, w string, n long, both long, hit long")
-    got = got.groupBy("side", "w").agg(F.sum("n").alias("n"), F.sum("both").alias("both"), F.sum("hit").alias("hit"))
-    got = got.filter((F.length("w") > 2) & (F.col("n") >= max(least, total / share))).filter("both > 0")
-    found = got.select("w", (F.col("hit") < 0.5 * F.col("both")).alias("generic"), "n").collect()
-    generic, strong = frozenset(r[0] for r in found if r[1]), {}
-    for w, g, n in found:
-        if not g and w not in generic:
+def sides(x: DataFrame, least: int = 5, share: int = 20_000) -> tuple[frozenset[str], dict[str, int]]:
+    """(generic, strong) of :func:`words`: words that don't identify, and words that do with their rows, among the
+    frequent ones. Frequent is a word in more than one of ``share`` rows, so there are at most ``share`` times the
+    words of a row. A generic word stands beside at least four sets of other words: copies of one row don't make one.
+    """
+    other, own = F.concat("sites", F.lit(" "), "mails"), F.replace("names", F.lit(" "), F.lit(""))
+    squeezed = F.concat(F.replace("sites", F.lit(" "), F.lit("")), F.lit(" "), F.replace("mails", F.lit(" "), F.lit("")))
+    beside = F.expr("shiftleft(1L, cast(pmod(xxhash64(array_sort(split(names, ' '))), 64L) as int))")
+
+    def side(words: Column, text: Column) -> DataFrame:
+        y = x.select(F.explode(F.array_distinct(F.split(words, " "))).alias("w"), F.trim(text).alias("t"), beside.alias("c")).filter(F.length("w") > 2)
+        there = F.col("t") != ""
+        return y.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count_if(there).alias("both"), F.count_if(there & F.contains("t", "w")).alias("hit"), F.bit_count(F.bit_or("c")).alias("c"))
+
+    total = x.count()
+    frequent = (F.col("n") >= max(least, total / share)) & (F.col("both") > 0)
+    got = side(F.col("names"), squeezed).unionByName(side(other, own)).filter(frequent)
+    generic, strong = set(), {}
+    for w, n, both, hit, c in got.collect():
+        if hit < 0.5 * both and c >= 4:
+            generic.add(w)
+        else:
             strong[w] = strong.get(w, 0) + n
-    return generic, strong
+    return frozenset(generic), {w: n for w, n in strong.items() if w not in generic}
 
 
-def near_words(a: str, b: str) -> bool:
-    return a == b or (min(len(a), len(b)) > 3 and damerau(a, b, 1) <= 1)
+def near_words(a: str, b: str, edits: int = 1) -> bool:
+    if a == b:
+        return True
+    if abs(len(a) - len(b)) > edits or min(len(a), len(b)) <= 3 * edits:
+        return False
+    if edits == 1 and a[0] != b[0] and a[-1] != b[-1]:  # one edit leaves one end
+        return False
+    return damerau(a, b, edits) <= edits
 
 
-def near_sets(x: tuple[str, ...], y: tuple[str, ...]) -> bool:
-    """Two readings whose words pair up, each within an edit; a joined word is compared with the words together."""
+def near_sets(x: tuple[str, ...], y: tuple[str, ...], edits: int = 1) -> bool:
+    """Two readings whose words pair up, each within some edits; joined words are compared with the words together."""
     if len(x) == len(y):
         left = list(y)
         for w in sorted(x, key=lambda w: w not in y):
-            hit = next((v for v in left if v == w), None) or next((v for v in left if near_words(w, v)), None)
+            hit = next((v for v in left if v == w), None) or next((v for v in left if near_words(w, v, edits)), None)
             if hit is None:
                 return False
             left.remove(hit)
         return True
     if len(x) > len(y):
         x, y = y, x
-    if len(x) == 1 and len(y) == 2:
-        return any(damerau(x[0], j, 1) <= 1 for j in (y[0] + y[1], y[1] + y[0]))
-    if len(x) == 1 and len(y) == 3:
-        return any(damerau(x[0], y[a] + y[b] + y[c], 1) <= 1 for a, b, c in ((0, 1, 2), (0, 2, 1), (1, 0, 2), (1, 2, 0), (2, 0, 1), (2, 1, 0)))
+    if len(x) < len(y) <= 4:
+        # two words of y may stand together in x
+        for i, v in enumerate(y):
+            for j, w in enumerate(y):
+                if i != j and any(near_words(u, v + w, edits) for u in x):
+                    rest = tuple(sorted([z for k, z in enumerate(y) if k not in (i, j)] + [v + w]))
+                    if near_sets(x, rest, edits):
+                        return True
     return False
 
 
 class Reader:
-    """Readings of a row, given the generic and strong words."""
+    """Readings of a row's words, given the generic and strong words."""
 
-    def __init__(self, providers: list[str], generic: frozenset[str], strong):
-        self.words, self.generic, self.strong = Words(providers), generic, strong
+    def __init__(self, generic: frozenset[str], strong):
+        self.generic, self.strong = generic, strong
         self.read = lru_cache(1 << 14)(self._read)
 
-    def core(self, ws: list[str], against: list[str] = ()) -> tuple[str, ...]:
+    def core(self, ws: list[str], against: list[str]) -> tuple[str, ...]:
         """Identifying words, sorted; beyond two, only those that are strong or near a word of another column."""
         c = [w for w in dict.fromkeys(ws) if len(w) > 2 and w not in self.generic]
         if len(c) > 2:
@@ -120,32 +144,40 @@ class Reader:
             return ()
         return tuple(sorted(c))
 
-    def _read(self, name: str | None, email: str | None, site: str | None):
-        """(key, other keys of the same firm, canon of the name, address, site); keys are words joined by blanks."""
-        names, sites, mails, address, host = self.words.of(name, email, site)
+    def clean(self, reading: str) -> bool:
+        """All its words are established, so it holds no slip."""
+        return " " in reading and all(w in self.strong for w in reading.split(" "))
+
+    def _read(self, names: str, sites: str, mails: str) -> tuple[str | None, list[str]]:
+        """(key, other readings that mean the same); words joined by blanks. What stands in one row may be two slips
+        a word apart."""
+        names, sites, mails = names.split(), sites.split(), mails.split()
         n, s, m = self.core(names, sites + mails), self.core(sites, names), self.core(mails, names)
         found = [(r, p) for p, r in enumerate((s, n, m)) if r]
         if not found:
-            return None, [], canon_word(name or ""), address, host
+            return None, []
         best = min(found, key=lambda x: (len(x[0]) < 2, not all(w in self.strong for w in x[0]), -min(len(x[0]), 4), x[1]))[0]
-        others = {r for r, _ in found if r != best and near_sets(best, r)}
-        return " ".join(best), sorted(" ".join(r) for r in others), canon_word(name or ""), address, host
+        others = {r for r, _ in found if r != best and near_sets(best, r, 2)}
+        return " ".join(best), sorted(" ".join(r) for r in others)
+
+
+def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong) -> DataFrame:
+    """``keep`` and ``key``, ``others`` (readings, a bar between them) and ``clean`` of :func:`words`."""
 
+    def make():
+        reader = Reader(generic, strong)
 
-def readings(rows: DataFrame, keep: list[str], providers: list[str], generic: frozenset[str], strong) -> DataFrame:
-    """``keep`` and ``key``, ``others``, ``canon``, ``address``, ``host`` of rows with ``name``, ``email``, ``site``."""
+        def one(names, sites, mails):
+            key, others = reader.read(names, sites, mails)
+            return key, "|".join(others) or None, key is not None and reader.clean(key)
 
-    @F.pandas_udf("key string, others array<string>, canon string, address string, host string")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        reader = Reader(providers, generic, strong)
-        for n, e, s in batches:
-            yield pd.DataFrame([reader.read(*x) for x in zip(n, e, s, strict=True)], columns=["key", "others", "canon", "address", "host"])
+        return one
 
-    return rows.select(*keep, run("name", "email", "site").alias("_r")).select(*keep, "_r.*")
+    return with_row_function(x, make, ["names", "sites", "mails"], "key string, others string, clean boolean", keep)
 
 
 def source_rows(spark, d: str, tables: tuple[str, ...]) -> DataFrame:
-    """(src, id, name, email, site) of the tables of a folder; a table without names or sites has NULL there."""
+    """(src, id, name, email, site) of the tables of a folder, ``src`` as a number in ``SOURCES``."""
     from leadweave.session import table
 
     none = F.lit(None).cast("string")
@@ -158,15 +190,26 @@ def source_rows(spark, d: str, tables: tuple[str, ...]) -> DataFrame:
     out = None
     for t in tables:
         i, n, e, s = shape[t]
-        x = table(spark, d, t).select(F.lit(t).alias("src"), F.col(i).alias("id"), n.alias("name"), e.alias("email"), s.alias("site"))
+        x = table(spark, d, t).select(F.lit(SOURCES.index(t)).cast("byte").alias("src"), F.col(i).alias("id"), n.alias("name"), e.alias("email"), s.alias("site"))
         out = x if out is None else out.unionByName(x)
     return out
 
 
-def ordered_pairs(rows: DataFrame, by: str, extra: Column | None = None) -> DataFrame:
-    """(src_a, id_a, src_b, id_b) of rows that share ``by``, the smaller (src, id) first; ``extra`` may refer to a and b."""
+def ordered_pairs(rows: DataFrame, by: str, differ: str) -> DataFrame:
+    """(src_a, id_a, src_b, id_b), sources by name, of rows that share ``by`` and differ in ``differ``, the smaller
+    (source, id) first."""
     a, b = rows.alias("a"), rows.alias("b")
     first = (F.col("a.src") < F.col("b.src")) | ((F.col("a.src") == F.col("b.src")) & (F.col("a.id") < F.col("b.id")))
-    on = (F.col(f"a.{by}") == F.col(f"b.{by}")) & first
-    j = a.join(b, on if extra is None else on & extra)
-    return j.select(F.col("a.src").alias("src_a"), F.col("a.id").alias("id_a"), F.col("b.src").alias("src_b"), F.col("b.id").alias("id_b"))
+    j = a.join(b, (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col(f"a.{differ}") != F.col(f"b.{differ}")) & first)
+    names = F.array(*[F.lit(s) for s in SOURCES])
+    name = lambda c: F.element_at(names, F.col(c).cast("int") + 1)
+    return j.select(name("a.src").alias("src_a"), F.col("a.id").alias("id_a"), name("b.src").alias("src_b"), F.col("b.id").alias("id_b"))
+
+
+def with_labels(rows: DataFrame, links: DataFrame, a: str, b: str, broadcast_rows: int = 200_000) -> DataFrame:
+    """``rows`` with ``label``: the least of the class of ``k`` under the links, ``k`` itself if it has none. Classes of
+    up to ``broadcast_rows`` keys are broadcast, more are joined by a shuffle."""
+    labels = components(links, a, b).withColumnRenamed("node", "k")
+    if labels.count() <= broadcast_rows:
+        labels = F.broadcast(labels)
+    return rows.join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))

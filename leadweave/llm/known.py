@@ -26,24 +26,21 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadweave.functions.address import bare_text, host_text, mail_text
+from leadweave.functions.batches import with_row_function
 from leadweave.functions.edit import damerau
+from leadweave.llm.marks import Marks
 from leadweave.session import cut, work_path
 
 SLIPS = 2  # one on each side
 #: A word that stands in so many entries, and in more than one of ``SHARE``, is a word of its own and no slip. There
 #: are at most ``SHARE`` times the words of an entry such words, so they can travel with the tasks.
 ESTABLISHED, SHARE = 4, 50_000
-#: Fine buckets of the bitmap that a batch marks: 4 MB, whatever the batch.
-FINE = 1 << 25
-
-
 def _h(text: str, seed: int) -> int:
     return xxhash.xxh64_intdigest(text, seed)
 
@@ -152,28 +149,10 @@ class BandIndex:
     def candidates(self, probes: DataFrame, established: frozenset[str] = frozenset()) -> DataFrame:
         """Pairs (``a``, ``b``) of a probe that can hold a slip and an entry."""
         keys = cut(self.keys(probes, established), "probe")
-        fine = F.pmod(F.col("key"), F.lit(FINE))
-        marks = keys.groupBy(F.bitmap_bucket_number(fine).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(fine)).alias("m")).collect()
         touched = [r[0] for r in keys.select(self.bucket().alias("x")).distinct().collect()]
-        bits = np.zeros(FINE // 8 + 4096, np.uint8)
-        for n, m in marks:
-            if n < 1:  # fine bucket 0, which always passes
-                continue
-            at = (n - 1) * 4096
-            bits[at : at + len(m)] |= np.frombuffer(bytes(m), np.uint8)
-        sent = self.spark.sparkContext.broadcast(bits)
-
-        @F.pandas_udf("boolean")
-        def marked(key: pd.Series) -> pd.Series:
-            # bit positions run from 0 inside a bitmap whose number starts at 1
-            k = key.to_numpy() % FINE
-            number, position = (k - 1) // 32768 + 1, (k - 1) % 32768
-            number, position = np.where(k == 0, 0, number), np.where(k == 0, 0, position)
-            byte = np.maximum(number - 1, 0) * 4096 + position // 8
-            return pd.Series((sent.value[byte] >> (position % 8).astype(np.uint8) & 1).astype(bool) | (k == 0))
-
+        marks = Marks(keys, "key")
         p = keys.select("key", F.col("id").alias("a"), F.col("sig").alias("sa"))
-        q = self.read(touched or [-1]).filter(marked("key")).select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
+        q = self.read(touched or [-1]).filter(marks.has(F.col("key"))).select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
         return p.join(q, "key").filter((F.col("a") != F.col("b")) & self.within_reach(F.col("sa"), F.col("sb"))).select("a", "b").distinct()
 
 
@@ -185,9 +164,16 @@ class Parser:
 
     def __init__(self, providers: list[str]):
         self.providers = providers
-        halves = [(p, p[: len(p) // 2], p[len(p) // 2 + 1 :]) for p in providers]
-        # one edit leaves one half of a host as it is
-        like = lambda host: any((host.startswith(a) or host.endswith(b)) and damerau(host, p, 1) <= 1 for p, a, b in halves)
+        # one edit leaves the beginning or the end of a host as it is
+        heads, tails = {}, {}
+        for p in providers:
+            heads.setdefault(len(p) // 2, {}).setdefault(p[: len(p) // 2], []).append(p)
+            tails.setdefault(len(p) - len(p) // 2 - 1, {}).setdefault(p[len(p) // 2 + 1 :], []).append(p)
+
+        def like(host: str) -> bool:
+            near = [p for k, at in heads.items() for p in at.get(host[:k], ())] + [p for k, at in tails.items() for p in at.get(host[-k:], ()) if abs(len(p) - len(host)) <= 1]
+            return any(damerau(host, p, 1) <= 1 for p in near)
+
         self.at_provider = lru_cache(1 << 16)(like)
         self.parse = lru_cache(1 << 14)(self._parse)
 
@@ -215,16 +201,9 @@ def name_label(host: str) -> str:
     return host.split(".")[-2] if "." in host else host
 
 
-def parsed(df: DataFrame, keep: list[Column], one: Column, other: Column, providers: list[str]) -> DataFrame:
+def parsed(df: DataFrame, keep: list[str], one: str, other: str, providers: list[str]) -> DataFrame:
     """``keep`` and ``address``, ``kind``, ``text``, ``site`` of the mail address and web address in two columns."""
-
-    @F.pandas_udf("address string, kind string, text string, site string")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        p = Parser(providers)
-        for a, b in batches:
-            yield pd.DataFrame([p.parse(x, y) for x, y in zip(a, b, strict=True)], columns=["address", "kind", "text", "site"])
-
-    return df.select(*keep, run(one, other).alias("_p")).select("*", "_p.*").drop("_p")
+    return with_row_function(df, lambda: Parser(providers).parse, [one, other], "address string, kind string, text string, site string", keep)
 
 
 def provider_hosts(table: DataFrame, bound: int = 1000) -> list[str]:
@@ -291,12 +270,13 @@ def near_texts(texts: DataFrame, index: BandIndex | None = None) -> DataFrame:
 
 def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, providers: list[str]) -> DataFrame:
     """(``seq``, ``hist_src``): every lead already known, once per history."""
-    nothing = F.lit(None).cast("string")
-    rows = cut(parsed(leads, [F.col("seq"), F.coalesce("batch_no", F.lit(1 << 30)).alias("batch")], F.col("email"), F.col("domain"), providers), "leads")
-    boxes = parsed(sent, [], F.col("email"), nothing, providers).filter("address is not null").groupBy("address", "kind", "text").agg(F.lit(0).alias("sent"))
+    nothing = F.lit(None).cast("string").alias("nothing")
+    leads = leads.select("seq", F.coalesce("batch_no", F.lit(1 << 30)).alias("batch"), "email", "domain")
+    rows = cut(parsed(leads, ["seq", "batch"], "email", "domain", providers), "leads")
+    boxes = parsed(sent.select("email", nothing), [], "email", "nothing", providers).filter("address is not null").groupBy("address", "kind", "text").agg(F.lit(0).alias("sent"))
     own = rows.filter("address is not null").groupBy("address", "kind", "text").agg(F.min("batch").alias("since"))
     boxes = cut(own.join(boxes, ["address", "kind", "text"], "full_outer"), "boxes")
-    sites = parsed(campaign, [], nothing, F.col("site"), providers).filter("site is not null").select("site").distinct().withColumn("campaign", F.lit(1))
+    sites = parsed(campaign.select("site", nothing).withColumnRenamed("site", "web"), [], "nothing", "web", providers).filter("site is not null").select("site").distinct().withColumn("campaign", F.lit(1))
     sites = rows.filter("site is not null").select("site").distinct().withColumn("lead", F.lit(1)).join(sites, "site", "full_outer")
     sites = cut(sites.withColumn("text", F.when(F.instr("site", ".") == 0, F.col("site")).otherwise(F.substring_index(F.substring_index("site", ".", -2), ".", 1))), "sites")
 
