@@ -33,8 +33,9 @@ def export(leads: DataFrame, mails: DataFrame, orgs: DataFrame) -> tuple[DataFra
     first = F.row_number().over(Window.partitionBy("mail", able).orderBy(F.asc_nulls_first("country"), "domain"))
     x = x.withColumn("kept", able & (first == 1))
     # a row of a known organisation whose address an earlier kept row took counts as 'mail'
-    taken = F.min(F.when(F.col("kept"), F.struct(F.coalesce("country", F.lit("")), "domain"))).over(Window.partitionBy("mail"))
-    earlier = taken < F.struct(F.coalesce("country", F.lit("")), "domain")
+    place = F.concat(T.text(F.col("country")), F.lit("\x01"), F.col("domain"))
+    x = x.withColumn("at", place).withColumn("taken", F.min(F.when(F.col("kept"), F.col("at"))).over(Window.partitionBy("mail")))
+    earlier = F.coalesce(F.col("taken") < F.col("at"), F.lit(False))
     reason = F.when(F.col("cc") == "", "ulkesiz").when(F.col("km") | earlier, "mail").otherwise("kurum")
     rows = x.filter("kept").select(F.concat("cc", F.lit("-EN")).alias("oncelik"), F.coalesce(F.nullif("name", F.lit("")), F.substring_index("mail", "@", 1)).alias("firma"), T.text(F.col("city")).alias("sehir"), F.col("mail").alias("email"), "site", T.text(F.col("note")).alias("dil_notu"))
     return rows, x.filter("not kept").select("domain", reason.alias("reason"))

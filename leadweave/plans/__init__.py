@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from leadweave.plans import records  # noqa: F401
+    from leadweave.plans import contacts, records  # noqa: F401
     from leadweave.plans.registry import QUERIES
 
     return dict(QUERIES)

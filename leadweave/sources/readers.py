@@ -67,7 +67,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     schema = ", ".join(f"`{c}` string" for c in columns)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
+    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return df.select(*[T.text(F.col(c)).alias(c) for c in columns])
 
 
@@ -75,4 +75,4 @@ def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
     """Text that a CSV reader of any language takes: header, CR LF, quotes doubled. An empty table gives its header.
     ``single`` writes one file, for results that people read."""
     out = df.coalesce(1) if single else df
-    out.write.mode("overwrite").csv(path, header=True, lineSep="\r\n", escape='"', quote='"', emptyValue="", nullValue="")
+    out.write.mode("overwrite").csv(path, header=True, lineSep="\r\n", escape='"', quote='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
