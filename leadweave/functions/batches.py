@@ -14,7 +14,7 @@ _ARROW = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.BooleanType()
 def with_row_function(df: DataFrame, make: Callable[[], Callable], inputs: list[str], outputs: str, keep: list[str]) -> DataFrame:
     """``keep`` and the columns ``outputs`` (a schema of strings, longs, ints and booleans), computed row by row.
 
-    ``make`` runs once a task and gives the function; it takes the values of ``inputs`` and returns a tuple.
+    ``make`` runs once a task and gives the function; it takes the values of ``inputs``, texts, and returns a tuple.
     """
     out = T._parse_datatype_string(outputs)
     schema = T.StructType([df.schema[c] for c in keep] + out.fields)
@@ -24,7 +24,8 @@ def with_row_function(df: DataFrame, make: Callable[[], Callable], inputs: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for b in batches:
-            got = [f(*row) for row in zip(*[b.column(c).to_pylist() for c in inputs], strict=True)]
+            # by way of numpy: many times faster than to_pylist, and texts and NULLs stay what they are
+            got = [f(*row) for row in zip(*[b.column(c).to_numpy(zero_copy_only=False).tolist() for c in inputs], strict=True)]
             cols = zip(*got, strict=True) if got else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 

@@ -7,45 +7,54 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NON_ASCII = r"[^\x00-\x7F]"
-#: Turkish dotless i and the capital with a dot lose the difference under plain upper/lower casing.
-_DOTS = str.maketrans({"ı": "i", "İ": "i"})
 
 
-_NOT_WORD, _HIDDEN = re.compile(r"[^a-z0-9]+"), re.compile(r"[\x00-\x20\x7F]+")
+# Turkish dotless i and the capital with a dot lose the difference under plain upper/lower casing: both are i here.
+class _Table(dict):
+    """A translation table that fills itself, character by character."""
+
+    def __init__(self, of):
+        super().__init__({ord("ı"): of("i"), ord("İ"): of("i")})
+        self.of = of
+
+    def __missing__(self, code: int) -> str:
+        self[code] = got = self.of(chr(code))
+        return got
+
+
+def _folded(c: str) -> str:
+    return unicodedata.normalize("NFC", c.casefold())
+
+
+def _bare_letter(c: str) -> str:
+    c = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", c).casefold())
+    return "".join(x if x.isalnum() else " " for x in c if not unicodedata.combining(x) and unicodedata.category(x) != "Cf")
+
+
+_CANON = _Table(lambda c: "".join(x for x in _folded(c) if x.isalnum()))
+_VISIBLE = _Table(lambda c: "".join(x for x in _folded(c) if not x.isspace() and unicodedata.category(x)[0] not in "CZ"))
+_PLAIN = _Table(_bare_letter)
 
 
-@lru_cache(1 << 14)
 def canon_word(s: str) -> str:
     """Letters and digits of ``s``, case folded, NFKC; accents stay."""
-    if s.isascii():
-        return _NOT_WORD.sub("", s.lower())
-    s = unicodedata.normalize("NFKC", s).translate(_DOTS).casefold()
-    return "".join(c for c in unicodedata.normalize("NFC", s) if c.isalnum())
+    return (s if s.isascii() else unicodedata.normalize("NFKC", s)).translate(_CANON)
 
 
-@lru_cache(1 << 14)
 def visible(s: str) -> str:
     """``s`` lower case and NFKC without white space and invisible characters; punctuation stays."""
-    if s.isascii():
-        return _HIDDEN.sub("", s.lower())
-    s = unicodedata.normalize("NFKC", s).translate(_DOTS).casefold()
-    return "".join(c for c in unicodedata.normalize("NFC", s) if not c.isspace() and unicodedata.category(c)[0] not in "CZ")
+    return (s if s.isascii() else unicodedata.normalize("NFKC", s)).translate(_VISIBLE)
 
 
 def strip_marks(s: str) -> str:
     """``s`` case folded, without accents, every run of other characters one blank; invisible characters vanish."""
-    if s.isascii():
-        return _NOT_WORD.sub(" ", s.lower()).strip()
-    s = unicodedata.normalize("NFKD", s.translate(_DOTS)).casefold()
-    s = "".join(c if c.isalnum() else " " for c in s if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
-    return " ".join(s.split())
+    return " ".join(s.translate(_PLAIN).split())
 
 
 def unmojibake(s: str) -> str:

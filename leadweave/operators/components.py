@@ -34,7 +34,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = cut(e, "edges")
     seen = None
     while True:
-        e = cut(small(large(e)), "star")
+        e = cut(small(large(e)), "star", free=(e,))
         # edges and their targets no longer change once every component is one star to its least node
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:

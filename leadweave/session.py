@@ -53,12 +53,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame, what: str = "cut") -> DataFrame:
-    """``df`` written to the shared folder and read again: its lineage ends there and survives lost executors."""
+def cut(df: DataFrame, what: str = "cut", free: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage ends there and survives lost executors.
+
+    ``free``: results of earlier cuts that only ``df`` still needed; their files go once ``df`` is written.
+    """
     spark = df.sparkSession
     at = work_path(spark, what)
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    for old in free:
+        delete_path(spark, old._leadweave_path)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._leadweave_path = at
+    return out
 
 
 def partitions(spark: SparkSession) -> int:
