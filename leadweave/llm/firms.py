@@ -162,18 +162,21 @@ class Reader:
 
 
 def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong) -> DataFrame:
-    """``keep`` and ``key``, ``others`` (readings, a bar between them) and ``clean`` of :func:`words`."""
+    """``keep`` and ``key``, ``others`` (readings, a bar between them), ``clean`` and ``joined`` (both joined writings
+    of a key of two words, a bar between them) of :func:`words`."""
 
     def make():
         reader = Reader(generic, strong)
 
         def one(names, sites, mails):
             key, others = reader.read(names, sites, mails)
-            return key, "|".join(others) or None, key is not None and reader.clean(key)
+            w = key.split(" ") if key else ()
+            joined = "".join(w) + "|" + "".join(reversed(w)) if len(w) == 2 else None
+            return key, "|".join(others) or None, key is not None and reader.clean(key), joined
 
         return one
 
-    return with_row_function(x, make, ["names", "sites", "mails"], "key string, others string, clean boolean", keep)
+    return with_row_function(x, make, ["names", "sites", "mails"], "key string, others string, clean boolean, joined string", keep)
 
 
 def source_rows(spark, d: str, tables: tuple[str, ...]) -> DataFrame:

@@ -29,13 +29,13 @@ def unordered(a: Column, b: Column) -> Column:
     return F.concat_ws("\x02", F.least(a, b), F.greatest(a, b))
 
 
-def lead_key(src: Column = F.lit("leads")) -> Column:
+def lead_key(src: str = "leads") -> Column:
     """Leads: domain and email may have changed places."""
-    return digest(src, unordered(canon_address(F.col("domain")), canon_address(F.col("email"))), canon(F.col("name")), canon(F.col("city")), canon(F.col("country")))
+    return digest(F.lit(src), unordered(canon_address(F.col("domain")), canon_address(F.col("email"))), canon(F.col("name")), canon(F.col("city")), canon(F.col("country")))
 
 
-def list_key(src: Column = F.lit("incoming_list")) -> Column:
-    return digest(src, canon(F.col("country")), canon(F.col("company")), canon_address(F.col("email")), canon_address(F.col("website")))
+def list_key(src: str = "incoming_list") -> Column:
+    return digest(F.lit(src), canon(F.col("country")), canon(F.col("company")), canon_address(F.col("email")), canon_address(F.col("website")))
 
 
 class Ledger:

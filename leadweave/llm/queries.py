@@ -218,9 +218,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p4_matches(spark: SparkSession, d: str) -> DataFrame:
-    """Matches between records of two tables with their confidence."""
+    """Matches between records of two tables, each named by its first row, with their confidence."""
     from leadweave.llm.matching import SOURCES
 
     names = F.array(*[F.lit(s) for s in SOURCES])
-    m = _p4(spark, d)[1].filter("src_q <> src_d")
-    return m.select(F.element_at(names, F.col("src_q") + 1).alias("src_a"), F.col("key_q").alias("key_a"), F.element_at(names, F.col("src_d") + 1).alias("src_b"), F.col("key_d").alias("key_b"), "score", "confidence")
+    keyed, m = _p4(spark, d)
+    one = keyed.groupBy("src", "k").agg(F.min("id").alias("id"))
+    q, x = (one.select(F.col("src").alias(f"src_{s}"), F.col("k").alias(f"k_{s}"), F.col("id").alias(f"id_{s}")) for s in "qd")
+    m = m.filter("src_q <> src_d").join(q, ["src_q", "k_q"]).join(x, ["src_d", "k_d"])
+    return m.select(F.element_at(names, F.col("src_q") + 1).alias("src_a"), F.col("id_q").alias("id_a"), F.element_at(names, F.col("src_d") + 1).alias("src_b"), F.col("id_d").alias("id_b"), "score", "confidence")
