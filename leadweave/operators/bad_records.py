@@ -4,7 +4,7 @@ Records are assembled from physical lines with respect to quotes (:func:`assembl
 the strict ``csv`` reader inside ``mapInPandas`` (:func:`parse_records`), structural faults are caught before the
 typed fields are looked at. Nothing is shuffled by the parser: it is one map over the input, whatever its size.
 
-Defined results: a NULL record counts as an empty one (reason ``columns``); an empty table gives an empty result;
+Defined results: a NULL record counts as an empty one (reason ``columns``); further line ends at a record's end don't matter; an empty table gives an empty result;
 repeated records are judged one by one; columns of the input keep their values, and one that is named like a column
 that the parser adds (``fields`` or ``reason``) is replaced.
 """

@@ -14,7 +14,7 @@ def reason(record):
 @pytest.mark.parametrize(
     ("record", "why"),
     [
-        (OK, None), (OK + "\r\n", None), (OK + "\n", None), (OK + "\r", None), (OK + "\n\n", "columns"), ("", "columns"), (None, "columns"),
+        (OK, None), (OK + "\r\n", None), (OK + "\n", None), (OK + "\r", None), (OK + "\n\n", None), ("", "columns"), (None, "columns"),
         ('NL,"Firm, the",a@b.nl,,', None), ('NL,"Firm\nsecond",a@b.nl,,', None), ('NL,"A ""B"" C",a@b.nl,-,', None), ('NL,"A"B,a@b.nl,,', "quoting"),
         ('NL,A "B",a@b.nl,,', "quoting"), ('NL,"open,a@b.nl,,', "quoting"), ('NL, "A",a@b.nl,,', "quoting"), ("NL,A\nB,a@b.nl,,", "columns"), ("NL,A,a@b.nl,", "columns"), (OK + ",x", "columns"),
         ('a,b,c"d', "quoting"), ("NL,F,a@b,b.nl,", "email"), ("NL,F, a@b.nl ,b.nl,", None), ("NL,F,a@b.nl.,b.nl,", "email"), ("NL,F,a@b.nl; c@d.nl,,", "email"),
