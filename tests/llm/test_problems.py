@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 
 TABLES = ("leads", "firmalar", "sent_log", "incoming_list", "incoming_raw", "documents", "doc_labels", "eval_items", "mix_targets", "ref_cities", "ref_countries", "mail_providers")
-NAMES = sorted(n for n in entry.queries() if n[:1] == "p" and n[1:2].isdigit())
+NAMES = sorted(n for n in entry.queries() if n.endswith("_found") or n == "p8_shares")
 CLASHING = ("key", "k", "label", "src", "id", "text_", "rec", "score", "batch", "n", "a", "b", "_v")
 
 
