@@ -109,7 +109,7 @@ class BandIndex:
         """Keys of all entries or, with ``established``, of those that can hold a slip."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
+            for pdf in filter(len, batches):
                 key, ids, sig = [], [], []
                 for i, k, t in zip(pdf["id"], pdf["kind"], pdf["text"], strict=True):
                     if established is not None and all(w in established for w in _LETTERS.findall(t)):
@@ -231,7 +231,8 @@ def established_words(texts: DataFrame) -> frozenset[str]:
             if len(n) > 500_000:
                 yield pd.DataFrame({"w": list(n), "n": list(n.values())})
                 n = Counter()
-        yield pd.DataFrame({"w": list(n), "n": list(n.values())})
+        if n:
+            yield pd.DataFrame({"w": list(n), "n": list(n.values())})
 
     got = texts.select("text").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
     total = (got.filter("w = ''").first() or [0, 0])[1]
@@ -260,7 +261,7 @@ def near_texts(texts: DataFrame, index: BandIndex | None = None) -> DataFrame:
     x = pairs.join(t.select(F.col("id").alias("a"), "kind", F.col("text").alias("t1")), "a").join(t.select(F.col("id").alias("b"), F.col("text").alias("t2")), "b")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in filter(len, batches):
             yield pdf[[plausible(p, q, established) for p, q in zip(pdf["t1"], pdf["t2"], strict=True)]]
 
     good = x.select("kind", "t1", "t2").mapInPandas(verify, "kind string, t1 string, t2 string")

@@ -135,7 +135,7 @@ def find_leaks(docs: DataFrame, items: list[tuple[int, str]], id_col: str = "doc
             rows = [(d, tests.item[o], c, tests.length[o], c / tests.length[o], m, at, k) for d, o, c, m, at, k in tests.search(shard)]
             return pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "item_words", "share", "longest", "doc_word", "item_word"])
 
-        for pdf in batches:
+        for pdf in filter(len, batches):
             for d, text in zip(pdf["_d"], pdf["_t"], strict=True):
                 w = [tests.vocabulary.get(x, 0) for x in words(text)]
                 if len(w) >= min_words:
