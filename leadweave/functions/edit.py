@@ -22,6 +22,8 @@ def damerau(a: str, b: str, limit: int | None = None) -> int:
     a, b = a[k:], b[k:]
     if not a or not b:
         return len(a) + len(b)
+    if limit is not None and min(len(a), len(b)) > 3 and Levenshtein(a).to(b) > 2 * limit:
+        return limit + 1  # a swap counts at most twice there
     far = len(a) + len(b)
     last: dict[str, int] = {}
     rows = [[far] * (len(b) + 2), [far, *range(len(b) + 1)]]
