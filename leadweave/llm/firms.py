@@ -27,7 +27,8 @@ SOURCES = ("firmalar", "incoming_list", "leads", "sent_log")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-_INNER = re.compile(r"[^\W\d_][A-ZÀ-ÖØ-Þ]")
+#: A capital between two other letters.
+_INNER = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ][^\W\d_A-ZÀ-ÖØ-Þ]")
 
 
 def name_words(name: str | None) -> list[str]:

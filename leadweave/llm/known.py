@@ -164,14 +164,14 @@ class Parser:
 
     def __init__(self, providers: list[str]):
         self.providers = providers
-        # one edit leaves the beginning or the end of a host as it is
+        # one edit leaves a host's first four letters or what follows the fifth as they are
         heads, tails = {}, {}
         for p in providers:
-            heads.setdefault(len(p) // 2, {}).setdefault(p[: len(p) // 2], []).append(p)
-            tails.setdefault(len(p) - len(p) // 2 - 1, {}).setdefault(p[len(p) // 2 + 1 :], []).append(p)
+            heads.setdefault(4, {}).setdefault(p[:4], []).append(p)
+            tails.setdefault(len(p[5:]), {}).setdefault(p[5:], []).append(p)
 
         def like(host: str) -> bool:
-            near = [p for k, at in heads.items() for p in at.get(host[:k], ())] + [p for k, at in tails.items() for p in at.get(host[-k:], ()) if abs(len(p) - len(host)) <= 1]
+            near = [p for k, at in heads.items() for p in at.get(host[:k], ())] + [p for k, at in tails.items() for p in at.get(host[-k:] if k else "", ())]
             return any(damerau(host, p, 1) <= 1 for p in near)
 
         self.at_provider = lru_cache(1 << 16)(like)
