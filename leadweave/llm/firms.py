@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadweave.constants import PLACEHOLDERS
 from leadweave.functions.batches import with_row_function
 from leadweave.functions.edit import damerau
 from leadweave.functions.fold import canon_word, strip_marks, unmojibake
@@ -57,7 +58,7 @@ class Words:
         """(name words, site words, mail words, address, site, hash of the name without writing)."""
         address, _, text, host = self.parser.parse(email, site)
         label = name_label(host) if host else ""
-        letters = canon_word(name or "")
+        letters = "" if (name or "").strip().lower() in PLACEHOLDERS else canon_word(name or "")
         canon = xxhash.xxh64_intdigest(letters) >> 1 if letters else 0
         return " ".join(name_words(name)), _plain(label), _plain(text or ""), address, host, canon
 
