@@ -2,9 +2,10 @@
 
 The distinctive part of an address (a host's name, or the local part at a shared provider) is cut into words, a word
 into its pieces, beginning and end. A band key hashes one of the least minwise values of a word's pieces together
-with the other words as they stand; as many values are kept as a word has pieces, so one slip on either side always
-leaves a common key. A text without borders between words has its long pieces as keys. Every key is stored with the
-entry's number and its signature (the parity of each letter's count, and a hash of the digits and marks),
+with the other words as they stand; as many values are kept as a word has pieces, so one slip always leaves a common
+key. A text without borders between words has its long pieces as keys. One slip on each side makes two slipped
+spellings, so only texts with a word that isn't established have keys for that: pieces of two words together with the
+others, and those parts of one word that two slips can't all change together with the others. Every key is stored with the entry's number and its signature (the parity of each letter's count, and a hash of the digits and marks),
 partitioned by a hash of the key. A batch probes only what its own keys can meet: the partitions they fall into and,
 inside these, the fine buckets marked in a bitmap of fixed size. Candidates share a key, then their signatures must
 be within the reach of two slips, then the texts are compared by edit distance. Accepted entries' keys are appended.
@@ -62,12 +63,49 @@ def minwise(word: str, n: int = 4) -> tuple[int, ...]:
 
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+def shorter(word: str, most: int) -> set[str]:
+    """The word without up to ``most`` (1 or 2) of its letters. Both spellings of one slip have such a form of one letter
+    less in common, those of a slip on each side one of two less."""
+    n = len(word)
+    out = {word} | {word[:i] + word[i + 1 :] for i in range(n)}
+    if most == 2:
+        out |= {word[:i] + word[i + 1 : j] + word[j + 1 :] for j in range(n) for i in range(j)}
+    return out
+
+
+def pieces_or_forms(word: str) -> set[str]:
+    """:func:`pieces`; in words of up to five letters a slip can destroy both, so these have shorter forms as well."""
+    return pieces(word) | (shorter(word, 1) if len(word) <= 5 else set())
+
+
+def twice(word: str, alone: bool) -> set[str]:
+    """Forms of which two spellings, one slip on each side away from one word, have one in common. A word that stands
+    ``alone`` needs rarer ones. That word may be a letter longer or shorter than the spelling at hand."""
+    lengths, out = range(max(1, len(word) - 1), len(word) + 2), set()
+    if lengths[0] <= (10 if alone else 4):
+        out |= shorter(word, 2)
+    if alone:
+        # four blocks, a letter between them: a slip changes one, so two are left, moved as a slip before them moves them
+        for b in {min((n - 3) // 4, 8) for n in lengths if n > 10}:
+            at = [k * (b + 1) for k in range(4)]
+            for i in range(4):
+                for j in range(i):
+                    for di, dj in {(0, 0), (1, 0), (-1, 0), (1, 1), (-1, -1)}:
+                        if at[j] + dj >= 0:
+                            out.add(f"{b} {j} {i} {word[at[j] + dj : at[j] + dj + b]} {word[at[i] + di : at[i] + di + b]}")
+    else:
+        # slips in the beginning and the end leave the middle, moved by one at most
+        for b in {min((n - 2) // 3, 8) for n in lengths if n > 4}:
+            out |= {word[:b] + "<", ">" + word[-b:]} | {f"{b}<{word[k : k + b]}>" for k in (b, b + 1, b + 2)}
+    return out
 
 
-def band_keys(kind: str, text: str) -> list[int]:
-    """The band keys of a text, signed 64 bits each."""
+def band_keys(kind: str, text: str, established: frozenset[str] = frozenset()) -> list[int]:
+    """The band keys of a text, signed 64 bits each. Texts one slip apart have one in common, and so have texts that are
+    both one slip away from a third, if the slips made words that aren't ``established``."""
     w = _LETTERS.findall(text)
     frame = kind + _LETTERS.sub("a", text)
+    rare = [i for i, x in enumerate(w) if x not in established]
     if len(w) >= 2:
         out = {_h(f"{frame} {i} {m} " + " ".join(w[:i] + w[i + 1 :]), 1) for i, x in enumerate(w) for m in minwise(x)}
     else:
@@ -76,6 +114,15 @@ def band_keys(kind: str, text: str) -> list[int]:
         sizes = {-(-6 * (n + d) // 10) for d in (-1, 0, 1)}
         out = {_h(f"{frame} {p}", 2) for k in sizes for p in (text[:k] + "<", ">" + text[-k:])}
         out |= {_h(f"{frame} {text[:k]}<>{text[-k:]}", 2) for k in {(n + d) // 3 for d in (-1, 0, 1)} if k}
+    for i, x in enumerate(w):
+        rest = " ".join(w[:i] + w[i + 1 :])
+        if len(x) <= 5:
+            out |= {_h(f"{frame} {i} {p} {rest}", 3) for p in shorter(x, 1)}
+        if i in rare:
+            out |= {_h(f"{frame} {i} {p} {rest}", 4) for p in twice(x, not rest)}
+    for i, j in {(min(i, j), max(i, j)) for i in rare for j in range(len(w)) if i != j}:
+        rest = " ".join(w[:i] + w[i + 1 : j] + w[j + 1 :])
+        out |= {_h(f"{frame} {i} {p} {j} {q} {rest}", 5) for p in pieces_or_forms(w[i]) for q in pieces_or_forms(w[j])}
     return [k - (1 << 64) if k >= 1 << 63 else k for k in out]
 
 
@@ -105,16 +152,16 @@ class BandIndex:
         self.spark, self.path, self.buckets, self.steps = spark, path or work_path(spark, "bands"), buckets, 0
 
     @staticmethod
-    def keys(entries: DataFrame, established: frozenset[str] | None = None) -> DataFrame:
-        """Keys of all entries or, with ``established``, of those that can hold a slip."""
+    def keys(entries: DataFrame, established: frozenset[str] = frozenset(), probes: bool = False) -> DataFrame:
+        """Keys of all entries or, with ``probes``, of those that can hold a slip."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in filter(len, batches):
                 key, ids, sig = [], [], []
                 for i, k, t in zip(pdf["id"], pdf["kind"], pdf["text"], strict=True):
-                    if established is not None and all(w in established for w in _LETTERS.findall(t)):
+                    if probes and all(w in established for w in _LETTERS.findall(t)):
                         continue
-                    own = band_keys(k, t)
+                    own = band_keys(k, t, established)
                     key += own
                     ids += [i] * len(own)
                     sig += [signature(k, t)] * len(own)
@@ -125,11 +172,11 @@ class BandIndex:
     def bucket(self) -> Column:
         return F.pmod(F.col("key"), F.lit(self.buckets)).cast("int")
 
-    def append(self, entries: DataFrame) -> None:
+    def append(self, entries: DataFrame, established: frozenset[str] = frozenset()) -> None:
         """Add the keys of accepted entries to their partitions. Tasks write to the partitions themselves, without a
         shuffle, as long as that makes no more than some thousand files."""
         self.steps += 1
-        rows = self.keys(entries).withColumn("bucket", self.bucket())
+        rows = self.keys(entries, established).withColumn("bucket", self.bucket())
         if entries.rdd.getNumPartitions() > 256:
             rows = rows.repartition(self.buckets * 16, "bucket", F.pmod("key", F.lit(self.buckets * 16)))
         rows.write.partitionBy("bucket").parquet(f"{self.path}/step={self.steps}")
@@ -148,7 +195,7 @@ class BandIndex:
 
     def candidates(self, probes: DataFrame, established: frozenset[str] = frozenset()) -> DataFrame:
         """Pairs (``a``, ``b``) of a probe that can hold a slip and an entry."""
-        keys = cut(self.keys(probes, established), "probe")
+        keys = cut(self.keys(probes, established, probes=True), "probe")
         touched = [r[0] for r in keys.select(self.bucket().alias("x")).distinct().collect()]
         marks = Marks(keys, "key")
         p = keys.select("key", F.col("id").alias("a"), F.col("sig").alias("sa"))
@@ -255,7 +302,7 @@ def near_texts(texts: DataFrame, index: BandIndex | None = None) -> DataFrame:
     numbered = cut(texts.withColumn("id", F.xxhash64("kind", "text")), "texts")
     established = established_words(numbered)
     index = index or BandIndex(texts.sparkSession)
-    index.append(numbered)
+    index.append(numbered, established)
     pairs = index.candidates(numbered, established)
     t = numbered.select("id", "kind", "text")
     x = pairs.join(t.select(F.col("id").alias("a"), "kind", F.col("text").alias("t1")), "a").join(t.select(F.col("id").alias("b"), F.col("text").alias("t2")), "b")

@@ -210,6 +210,37 @@ def test_one_slip_leaves_a_common_key():
         assert set(loose_terms(f"{a} {b}")) & set(loose_terms(f"{typo} {b}"))
 
 
+def one_slip(rng, w, letters="abcdefghiklmnoprstuvz"):
+    k = rng.randrange(len(w))
+    return rng.choice([w[:k] + w[k + 1 :], w[:k] + rng.choice(letters) + w[k:], w[:k] + rng.choice(letters) + w[k + 1 :], w[: max(0, k - 1)] + w[k : k + 1] + w[max(0, k - 1) : k] + w[k + 1 :]])
+
+
+def test_one_slip_on_each_side_leaves_a_common_key():
+    rng = random.Random(11)
+    word = lambda low, high: "".join(rng.choice("abcdefghiklmnoprstuvz") for _ in range(rng.randrange(low, high)))
+    for k in range(4000):
+        w = [word(2, 12) for _ in range(k % 4 or 1)]
+        if k % 8 == 4:
+            w = [word(12, 60)]
+        a, b = list(w), list(w)
+        i, j = rng.randrange(len(w)), rng.randrange(len(w))
+        a[i], b[j] = one_slip(rng, a[i]), one_slip(rng, b[j])
+        # words that the slips left as they are may be established
+        whole = frozenset(x for n, x in enumerate(w) if rng.random() < 0.7) - {a[i], b[j]}
+        a, b = "-".join(a), "-".join(b)
+        assert set(known.band_keys("h", a, whole)) & set(known.band_keys("h", b, whole)), (a, b)
+        assert set(known.band_keys("h", a, whole)) & set(known.band_keys("h", "-".join(w), whole)), (a, w)
+
+
+def test_a_slip_on_each_side_is_known(spark):
+    leads = [(1, 1, "info@krakervins-tastoltorm.test", None), (2, 2, "info@krakervin-tastoltorms.test", None), (3, 2, None, "www.skernsmarvobis.test"), (4, 2, "info@krakervin-tastoltorn7.test", None)]
+    leads = spark.createDataFrame(leads, "seq long, batch_no int, email string, domain string")
+    sent = spark.createDataFrame([("info@rkakervin-tastoltorm.test",)], "email string")
+    campaign = spark.createDataFrame([("skernasmarvobsi.test",)], "site string")
+    got = {tuple(r) for r in known.known_leads(leads, sent, campaign, ["mail.test"]).collect()}
+    assert got == {(1, "sent_log"), (2, "sent_log"), (2, "leads"), (3, "firmalar")}
+
+
 def test_slips():
     assert known.slips("office1@a.test", "office2@a.test") == 99
     assert known.slips("x.y@a.test", "x_y@a.test") == 99
