@@ -12,7 +12,7 @@ from leadweave.functions.edit import damerau
 from leadweave.functions.fold import canon_word
 from leadweave.llm import canonical_map as cm
 from leadweave.llm import firms, known, ledger, leakage, mixture, safety, text, variants
-from leadweave.llm.matching import calibrate, loose_terms
+from leadweave.llm.matching import ESSENTIAL, calibrate, candidates, loose_terms
 
 CITIES = [(1, "DE", ["Skiskerhafen"]), (2, "NL", ["Bad Noldalk", "Glurnixford"]), (3, "CH", ["Mindrot am See"]), (4, "BG", ["Skoruxford"]), (5, "NL", ["Skoruxford"]), (6, "NL", ["Sint Turguldijk"]), (7, "TR", ["Bindröltepe"])]
 CODES = {"de": "DE", "germany": "DE", "nl": "NL", "bg": "BG", "ch": "CH", "tr": "TR", "netherlands": "NL"}
@@ -283,6 +283,20 @@ def test_name_readings():
     assert variants.soft_similarity([], [], w) == 0
 
 
+def test_all_records_of_a_full_term_meet(spark):
+    lists = {1: range(3 * ESSENTIAL + 5), 2: range(ESSENTIAL), 3: range(ESSENTIAL, 2 * ESSENTIAL + 1), 4: [7]}
+    post = [(t, r) for t, x in lists.items() for r in x] + [(1, 0), (2, 0)]
+    want = defaultdict(float)
+    for x in lists.values():
+        for a in x:
+            for b in x:
+                if a < b:
+                    want[a, b] += math.log(1 + (1000 - len(x) + 0.5) / (len(x) + 0.5))
+    got = {(r.a, r.b): r.essential for r in candidates(spark.createDataFrame(post, "term long, rec long"), 1000).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - x) < 1e-4 for k, x in want.items())
+
+
 def test_calibration_separates():
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(0.8, 0.1, (200, 2)), rng.normal(0.2, 0.1, (200, 2))])
