@@ -28,8 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadweave.functions.edit import BKTree
-from leadweave.functions.fold import strip_marks, unmojibake
+from leadweave.llm.edit import BKTree
+from leadweave.llm.fold import strip_marks, unmojibake
 
 #: Words around a place's name that denote a part of it or the region named after it.
 PART_WORDS = frozenset(

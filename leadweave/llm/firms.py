@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadweave.constants import PLACEHOLDERS
-from leadweave.functions.batches import with_row_function
-from leadweave.functions.edit import damerau
-from leadweave.functions.fold import canon_word, strip_marks, unmojibake
+from leadweave.llm.batches import with_row_function
+from leadweave.llm.edit import damerau
+from leadweave.llm.fold import canon_word, strip_marks, unmojibake
 from leadweave.llm.known import Parser, name_label
-from leadweave.operators.components import components
+from leadweave.llm.components import components
 
 #: Sources in the order of their names.
 SOURCES = ("firmalar", "incoming_list", "leads", "sent_log")

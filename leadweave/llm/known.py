@@ -32,9 +32,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadweave.functions.address import bare_text, host_text, mail_text
-from leadweave.functions.batches import with_row_function
-from leadweave.functions.edit import damerau
+from leadweave.llm.address import bare_text, host_text, mail_text
+from leadweave.llm.batches import with_row_function
+from leadweave.llm.edit import damerau
 from leadweave.llm.marks import Marks
 from leadweave.session import cut, work_path
 

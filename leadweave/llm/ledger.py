@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadweave.functions.address import canon_address
-from leadweave.functions.fold import canon
+from leadweave.llm.address import canon_address
+from leadweave.llm.fold import canon
 from leadweave.session import cut, delete_path, table, work_path
 
 

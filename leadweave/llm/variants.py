@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadweave.functions.edit import damerau
+from leadweave.llm.edit import damerau
 from leadweave.llm import firms
 from leadweave.llm.marks import Marks
 from leadweave.session import cut

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leadweave.functions.edit import damerau
-from leadweave.functions.fold import canon_word
+from leadweave.llm.edit import damerau
+from leadweave.llm.fold import canon_word
 from leadweave.llm import canonical_map as cm
 from leadweave.llm import firms, known, ledger, leakage, mixture, safety, text, variants
 from leadweave.llm.matching import ESSENTIAL, calibrate, candidates, loose_terms
