@@ -1,44 +1,13 @@
 import random
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from leadweave.functions.edit import BKTree, Levenshtein, damerau
 from leadweave.operators import contacts, store
-from leadweave.operators.components import components
 from leadweave.operators.export import greedy
 from leadweave.session import work_path
 from leadweave.sources import readers
 
 
-def lev(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
-        row = new
-    return row[-1]
-
-
-WORD = st.text("abc", max_size=7)
-
-
-@settings(max_examples=300, deadline=None)
-@given(WORD, WORD, WORD)
-def test_metrics(a, b, c):
-    assert Levenshtein(a).to(b) == lev(a, b)
-    assert damerau(a, b) == damerau(b, a) <= lev(a, b) <= 2 * damerau(a, b)
-    assert damerau(a, c) <= damerau(a, b) + damerau(b, c)
-
-
-@settings(max_examples=60, deadline=None)
-@given(st.sets(WORD, max_size=40), WORD, st.integers(0, 2))
-def test_tree_finds_all(words, w, r):
-    assert BKTree(sorted(words)).search(w, r) == sorted((damerau(w, x), x) for x in words if damerau(w, x) <= r)
-
-
 def sequential(rows):
     mails, orgs, kept = set(), set(), []
     for seq, mail, org in sorted(rows):
@@ -56,26 +25,6 @@ def test_greedy(spark):
         assert sorted(r[0] for r in greedy(df).collect()) == sequential(rows)
 
 
-def test_components(spark):
-    rng = random.Random(5)
-    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(100 + i, 101 + i) for i in range(20)] + [(7, 7), (None, 3)]
-    parent = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    for a, b in edges:
-        if a is not None and a != b:
-            x, y = find(a), find(b)
-            parent[max(x, y)] = min(x, y)
-    want = {x: find(x) for x in parent}
-    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == want
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
 def clean(spark, mails, domain, strict=False):
     df = spark.createDataFrame([(mails, domain)], "m array<string>, d string")
     return df.select(contacts.clean_mails(F.col("m"), F.col("d"), strict)).first()[0]

@@ -1,8 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leadweave.functions import address as A
-from leadweave.functions import fold
 from leadweave.functions import text as T
 
 
@@ -49,22 +47,3 @@ def test_email_shape(spark):
 def test_join_url(spark):
     assert one(spark, T.join_url(F.col("b"), F.col("p")), b="https://a.nl/x", p="/contact") == "https://a.nl/contact"
     assert one(spark, T.join_url(F.col("b"), F.col("p")), b="https://a.nl/x", p="") == "https://a.nl/x"
-
-
-VALUES = [None, "", " ", "-", "n/a", "<a@b.nl>", "mailto:A@B.nl;", "a @ b.nl", "a​@b.nl", "\"a.b@c.nl\"", "https://www.a.nl:443/x?y", "WWW.A.nl.", "user@a.nl/x", "http://a.nl/@x", "Köln.test", "Köln.test", "ﬁrm.nl", "İstanbul.test", "x" * 5000]
-
-
-def test_address_columns_equal_python(spark):
-    rows = spark.createDataFrame([(v,) for v in VALUES], "v string")
-    got = rows.select("v", A.bare(F.col("v")).alias("b"), A.host_of(A.bare(F.col("v"))).alias("h"), A.mail_of(A.bare(F.col("v"))).alias("m"), fold.canon(F.col("v")).alias("c")).collect()
-    for v, b, h, m, c in got:
-        bare = A.bare_text(v)
-        assert (b, h, m, c) == (bare, A.host_text(bare), A.mail_text(bare), fold.canon_word(v or ""))
-
-
-def test_fold():
-    assert fold.canon_word("Köln-Straße") == fold.canon_word("KÖLN STRASSE")
-    assert fold.canon_word("Kö") != fold.canon_word("Ko")
-    assert fold.strip_marks("Ş.T.İ  Ltd") == "s t i ltd"
-    assert fold.unmojibake("BindrÃ¶ltepe") == "Bindröltepe"
-    assert fold.unmojibake("Àé") == "Àé"
