@@ -11,6 +11,8 @@ from leadweave.constants import COUNTRY_CODES, EMAIL, FREEMAIL, LEGACY_TAGS, PLA
 SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 STRIP = f"^[{SPACE}]+|[{SPACE}]+$"
 URL_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]*)"
+#: The same without hosts in brackets.
+HOST = URL_HOST.replace("([^", r"((?!\[)[^", 1)
 PUNCTUATION = ".,;:'\"()<>"
 
 
@@ -26,10 +28,10 @@ def strip(c: Column) -> Column:
 
 def host(c: Column) -> Column:
     """Normalised host of a site: lower case, no scheme, user, port, path, nor one leading ``www.``; '' if missing."""
-    v = F.lower(strip(c))
-    v = F.when(v.isin("", *PLACEHOLDERS), "").when(F.contains(v, F.lit("://")), v).otherwise(F.concat(F.lit("https://"), v))
-    h = F.lower(F.regexp_extract(v, URL_HOST, 1))
-    return F.when(F.startswith(h, F.lit("[")), "").otherwise(F.regexp_replace(h, r"^www\.", ""))
+    # one chain of calls in which nothing stands twice: generated code stays small where hosts are keys
+    v = F.regexp_replace(F.lower(strip(c)), r"\A(?:" + "|".join(PLACEHOLDERS) + r")\z", "")
+    v = F.regexp_replace(v, r"(?s)\A(?!.*://)", "https://")
+    return F.regexp_replace(F.lower(F.regexp_extract(v, HOST, 1)), r"^www\.", "")
 
 
 def is_email(c: Column) -> Column:
@@ -55,11 +57,12 @@ def stored_key(c: Column) -> Column:
 
 
 def cf_decode(hexed: Column) -> Column:
-    """Decode an obfuscated address: the first byte is the key of all others. Odd or broken text gives ''."""
+    """Decode an obfuscated address: the first byte is the key of all others; a digit left at the end is a byte of its
+    own. Text that isn't hexadecimal gives ''."""
     h = text(hexed)
     byte = lambda p: F.conv(F.substring(h, p, 2), 16, 10).cast("int")
-    chars = F.transform(F.sequence(F.lit(3), F.length(h) - 1, F.lit(2)), lambda p: F.char(byte(p).bitwiseXOR(byte(F.lit(1)))))
-    whole = h.rlike(r"\A(?:[0-9a-fA-F]{2}){2,}\z")
+    chars = F.transform(F.sequence(F.lit(3), F.length(h), F.lit(2)), lambda p: F.char(byte(p).bitwiseXOR(byte(F.lit(1)))))
+    whole = h.rlike(r"\A[0-9a-fA-F]{3,}\z")
     return F.when(whole, F.array_join(chars, "")).otherwise("")
 
 

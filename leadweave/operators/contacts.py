@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,7 @@ def keep_mail(m: Column, domain: Column, strict: bool = False) -> Column:
     (``strict``: equals them), or at a mail provider.
     """
     local, at = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
-    junk = F.lit(False)
-    for s in JUNK_SUBSTRINGS:
-        junk = junk | F.contains(m, F.lit(s))
+    junk = m.rlike("|".join(map(re.escape, JUNK_SUBSTRINGS)))
     near = (T.root(at) == T.root(domain)) if strict else F.contains(at, T.root(domain))
     own = (at == domain) | F.endswith(at, F.concat(F.lit("."), domain)) | near | at.isin(*FREEMAIL)
     return T.is_email(m) & (F.length(m) <= 90) & ~junk & ~local.isin(*JUNK_LOCALS) & ~at.isin(*JUNK_HOSTS) & own
@@ -74,22 +74,69 @@ def extract_sites(fetch: DataFrame, strict: bool = False) -> DataFrame:
     return g.select("domain", status.alias("status"), F.try_element_at("hit", F.lit(1)).alias("email"), F.coalesce(F.concat_ws(",", F.slice("hit", 1, 6)), F.lit("")).alias("all_mails"), note.alias("note"))
 
 
+def crawl(queue: DataFrame, fetch: DataFrame, strict: bool = False) -> DataFrame:
+    """One result for every ``domain`` of a queue: a key that is an address is its own result, a site without any page
+    has none and no failure."""
+    q = queue.select("domain").filter("domain is not null").distinct()
+    mail = F.contains("domain", F.lit("@"))
+    own = q.filter(mail).select("domain", F.lit("done").alias("status"), F.col("domain").alias("email"), F.col("domain").alias("all_mails"), F.lit("kaynak etiketinden").alias("note"))
+    sites = q.filter(~mail)
+    seen = extract_sites(fetch.join(sites, "domain", "left_semi"), strict)
+    x = sites.join(seen, "domain", "left")
+    x = x.select("domain", F.coalesce("status", F.lit("noemail")).alias("status"), "email", F.coalesce("all_mails", F.lit("")).alias("all_mails"), F.coalesce("note", F.lit("")).alias("note"))
+    return own.unionByName(x)
+
+
+def crawl_counts(results: DataFrame) -> DataFrame:
+    """One row: results and how many of them have an address."""
+    return results.agg(F.count(F.lit(1)).alias("sites"), F.count_if(F.col("email").isNotNull()).alias("with_mail"))
+
+
+VERIFY_PATHS = 10
+
+
 def verify_claims(claims: DataFrame, fetch: DataFrame) -> DataFrame:
-    """(row_id, outcome) of claims (row_id, email, website) against pages (domain, http_status, html).
+    """(row_id, outcome) of claims (row_id, email, website, source_url) against pages (domain, path_idx, url,
+    http_status, error, html).
 
-    ``site-yok``: no website; ``DOGRULANDI``: a reachable page of the site shows the address; ``sitede-yok``: reachable
-    without it; ``erisilemedi``: no page below 400. Pages are reduced to their addresses and a flag, partly before
-    the shuffle; a claim meets one row a (site, address).
+    A claim's pages are the one at ``source_url`` and the first ten contact pages of its website. ``site-yok``: no
+    website, whatever the source; ``DOGRULANDI``: one of its pages that came without an error and below 400 shows the
+    address, as it stands or obfuscated; ``sitede-yok``: there is such a page, none shows it; ``erisilemedi``: there is
+    none. Pages are reduced to their addresses, partly before the shuffle; a claim meets one row a (place, address).
     """
-    c = claims.select("row_id", F.lower(T.strip(F.col("email"))).alias("mail"), T.host(F.col("website")).alias("domain"), (T.strip(F.col("website")) == "").alias("none"))
-    ok = fetch.filter("http_status < 400")
-    found = ok.select("domain", F.explode(F.transform(find_mails(F.col("html")), F.lower)).alias("mail")).distinct().withColumn("hit", F.lit(True))
-    there = ok.select("domain").distinct().withColumn("ok", F.lit(True))
-    x = c.join(there, "domain", "left").join(found, ["domain", "mail"], "left")
-    outcome = F.when(F.col("none"), "site-yok").when(F.col("hit"), "DOGRULANDI").when(F.col("ok"), "sitede-yok").otherwise("erisilemedi")
+    c = claims.select("row_id", F.lower(T.strip(F.col("email"))).alias("mail"), F.nullif(T.host(F.col("website")), F.lit("")).alias("domain"), (T.strip(F.col("website")) == "").alias("none"), F.nullif("source_url", F.lit("")).alias("url"))
+    ok = fetch.filter("error is null and http_status < 400")
+    place = F.filter(F.array(F.when(F.col("path_idx") < VERIFY_PATHS, F.struct(F.lit("d").alias("kind"), F.col("domain").alias("at"))), F.struct(F.lit("u").alias("kind"), F.col("url").alias("at"))), lambda p: p["at"].isNotNull())
+    # a page shows the empty address as well: whether there is a page at all
+    mails = F.array_union(F.array(F.lit("")), F.transform(find_mails(F.col("html")), F.lower))
+    shown = ok.select(F.explode(place).alias("p"), mails.alias("mails")).select("p.kind", "p.at", F.explode("mails").alias("mail")).distinct()
+
+    def look(x: DataFrame, kind: str, at: str, mail: Column, flag: str) -> DataFrame:
+        s = shown.filter(F.col("kind") == kind).select(F.col("at").alias(at), F.col("mail").alias("_m"), F.lit(True).alias(flag))
+        return x.withColumn("_m", mail).join(s, [at, "_m"], "left").drop("_m")
+
+    asked = F.nullif("mail", F.lit(""))
+    x = look(look(c, "d", "domain", asked, "hit_d"), "u", "url", asked, "hit_u")
+    x = look(look(x, "d", "domain", F.lit(""), "ok_d"), "u", "url", F.lit(""), "ok_u")
+    outcome = F.when(F.col("none"), "site-yok").when(F.coalesce("hit_d", "hit_u"), "DOGRULANDI").when(F.coalesce("ok_d", "ok_u"), "sitede-yok").otherwise("erisilemedi")
     return x.select("row_id", outcome.alias("outcome"))
 
 
+def verify_list(claims: DataFrame, fetch: DataFrame, banned: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(claims that were verified, with their columns; counters (``what``, ``n``)).
+
+    Claims whose company, email or website contains one of ``banned`` aren't looked up. Counters: ``total``,
+    ``banned``, ``candidates`` and every outcome.
+    """
+    hit = contains_any(text_blob(["company", "email", "website"]), banned)
+    able = claims.filter(~hit)
+    outcomes = verify_claims(able, fetch)
+    kept = able.join(outcomes.filter("outcome = 'DOGRULANDI'").select("row_id"), "row_id", "left_semi").select(*claims.columns)
+    count = claims.agg(F.count(F.lit(1)).alias("total"), F.count_if(hit).alias("banned"), F.count_if(~hit).alias("candidates"))
+    count = count.select(F.explode(F.map_from_arrays(F.array(F.lit("total"), F.lit("banned"), F.lit("candidates")), F.array("total", "banned", "candidates"))).alias("what", "n"))
+    return kept, count.unionByName(histogram(outcomes, "outcome", OUTCOMES).select(F.col("outcome").alias("what"), "n"))
+
+
 OUTCOMES = ("DOGRULANDI", "sitede-yok", "erisilemedi", "site-yok")
 
 
@@ -99,8 +146,22 @@ def histogram(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
     return seen.groupBy(column).agg(F.count_if(F.col("zero").isNull()).alias("n"))
 
 
+def text_blob(columns: list[str]) -> Column:
+    """The columns joined by blanks, in lower case."""
+    return F.lower(F.concat_ws(" ", *[T.text(F.col(c)) for c in columns]))
+
+
+def contains_any(blob: Column, words: list[str]) -> Column:
+    """Whether the text holds one of some words, inside others too."""
+    return blob.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
+
+
 def keyword_filter(df: DataFrame, columns: list[str], keep: list[str], veto: list[str] = ()) -> DataFrame:
     """Rows whose columns, joined and in lower case, contain one of ``keep`` and none of ``veto``."""
-    blob = F.lower(F.concat_ws(" ", *[T.text(F.col(c)) for c in columns]))
-    has = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(blob, w)) if words else F.lit(False)
-    return df.filter(has(keep) & ~has(veto))
+    return df.filter(contains_any(text_blob(columns), keep) & ~contains_any(text_blob(columns), veto))
+
+
+def filter_counts(df: DataFrame, columns: list[str], keep: list[str], veto: list[str] = ()) -> DataFrame:
+    """One row: rows kept by :func:`keyword_filter` and all rows."""
+    hit = contains_any(text_blob(columns), keep) & ~contains_any(text_blob(columns), veto)
+    return df.agg(F.count_if(hit).alias("kept"), F.count(F.lit(1)).alias("total"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadweave.constants import FREEMAIL
@@ -30,11 +30,11 @@ def export(leads: DataFrame, mails: DataFrame, orgs: DataFrame) -> tuple[DataFra
     x = x.withColumn("site", site).withColumn("org", T.org_key(F.col("cc"), F.col("site"), F.col("mail")))
     x = x.join(mails.withColumn("km", F.lit(True)), "mail", "left").join(orgs.withColumn("ko", F.lit(True)), "org", "left")
     able = (F.col("cc") != "") & F.col("km").isNull() & F.col("ko").isNull()
-    first = F.row_number().over(Window.partitionBy("mail", able).orderBy(F.asc_nulls_first("country"), "domain"))
-    x = x.withColumn("kept", able & (first == 1))
+    x = x.withColumn("able", able).withColumn("at", F.struct(T.text(F.col("country")).alias("c"), F.col("domain").alias("d")))
+    # the first able row of each address; partial minima before the shuffle, so a hot address costs one row a task
+    first = x.filter("able").groupBy("mail").agg(F.min("at").alias("taken"))
+    x = x.join(first, "mail", "left").withColumn("kept", F.col("able") & F.coalesce(F.col("at") == F.col("taken"), F.lit(False)))
     # a row of a known organisation whose address an earlier kept row took counts as 'mail'
-    place = F.concat(T.text(F.col("country")), F.lit("\x01"), F.col("domain"))
-    x = x.withColumn("at", place).withColumn("taken", F.min(F.when(F.col("kept"), F.col("at"))).over(Window.partitionBy("mail")))
     earlier = F.coalesce(F.col("taken") < F.col("at"), F.lit(False))
     reason = F.when(F.col("cc") == "", "ulkesiz").when(F.col("km") | earlier, "mail").otherwise("kurum")
     rows = x.filter("kept").select(F.concat("cc", F.lit("-EN")).alias("oncelik"), F.coalesce(F.nullif("name", F.lit("")), F.substring_index("mail", "@", 1)).alias("firma"), T.text(F.col("city")).alias("sehir"), F.col("mail").alias("email"), "site", T.text(F.col("note")).alias("dil_notu"))
@@ -54,7 +54,7 @@ def greedy(rows: DataFrame, order: str = "seq", a: str = "mail", b: str = "org")
         now = left.join(first(a).select(order, a), [order, a], "left_semi").join(first(b).select(order, b), [order, b], "left_semi")
         now = cut(now, "kept")
         kept = now if kept is None else kept.unionByName(now)
-        left = cut(left.join(now.select(a), a, "left_anti").join(now.select(b), b, "left_anti"), "greedy")
+        left = cut(left.join(now.select(a), a, "left_anti").join(now.select(b), b, "left_anti"), "greedy", free=(left,))
         if left.isEmpty():
             return rows.join(kept.select(order), order, "left_semi")
 

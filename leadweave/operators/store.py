@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadweave.constants import JUNK_HOSTS
 from leadweave.functions import text as T
+from leadweave.session import Pointer, cut, list_names
 
 LEADS = "seq long, domain string, name string, city string, country string, source string, status string, email string, all_mails string, note string, checked_at timestamp"
 
@@ -25,23 +26,27 @@ def insert_absent(new: DataFrame, existing: DataFrame) -> DataFrame:
     return first_wins(x).join(existing.select("domain"), "domain", "left_anti")
 
 
-def promote_pending(leads: DataFrame, mails: DataFrame) -> DataFrame:
-    """Pending leads with a valid address in ``mails`` (domain, mail, seq) become done with the first one."""
+def promote_pending(leads: DataFrame, mails: DataFrame, now: Column | None = None) -> DataFrame:
+    """Pending leads with a valid address in ``mails`` (domain, mail, seq) become done with the first one, checked at
+    ``now`` (the current time)."""
     first = mails.filter(T.is_email(T.strip(F.col("mail")))).groupBy("domain").agg(F.min_by(T.strip(F.col("mail")), "seq").alias("_m"))
     x = leads.join(first, "domain", "left")
-    now = (F.col("status") == "pending") & F.col("_m").isNotNull()
-    for c, v in (("email", F.col("_m")), ("note", F.lit("OSM etiketinden")), ("status", F.lit("done"))):
-        if c != "status":
-            x = x.withColumn(c, F.when(now, v).otherwise(F.col(c)))
-    return x.withColumn("status", F.when(now, "done").otherwise(F.col("status"))).drop("_m").select(*leads.columns)
+    turn = (F.col("status") == "pending") & F.col("_m").isNotNull()
+    new = {"status": F.lit("done"), "email": F.col("_m"), "note": F.lit("OSM etiketinden"), "checked_at": clock(now)}
+    return x.select(*[F.when(turn, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in leads.columns])
 
 
-def apply_results(leads: DataFrame, results: DataFrame) -> DataFrame:
-    """Overwrite status, email, all_mails and note of leads that have a crawl result (one a domain)."""
+def apply_results(leads: DataFrame, results: DataFrame, now: Column | None = None) -> DataFrame:
+    """Overwrite status, email, all_mails, note and time of leads that have a crawl result (one a domain)."""
     cols = ("status", "email", "all_mails", "note")
-    r = results.select("domain", F.struct(*cols).alias("_r"))
+    r = results.select("domain", F.struct(*cols, clock(now).alias("checked_at")).alias("_r"))
     x = leads.join(r, "domain", "left")
-    return x.select(*[F.when(F.col("_r").isNotNull(), F.col(f"_r.{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in leads.columns])
+    return x.select(*[F.when(F.col("_r").isNotNull(), F.col(f"_r.{c}")).otherwise(F.col(c)).alias(c) if c in (*cols, "checked_at") else F.col(c) for c in leads.columns])
+
+
+def clock(now: Column | None) -> Column:
+    """``now`` or the current time, to the second."""
+    return F.date_trunc("second", F.current_timestamp() if now is None else now)
 
 
 def queue_batch(leads: DataFrame, limit: int) -> DataFrame:
@@ -53,52 +58,87 @@ def status_counts(leads: DataFrame) -> DataFrame:
     return leads.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def pending_count(leads: DataFrame) -> DataFrame:
+    return leads.agg(F.count_if(F.col("status") == "pending").alias("pending"))
+
+
+def stats(leads: DataFrame, n: int = 8) -> DataFrame:
+    """The report (``what``, ``name``, ``n``): the pool's size, leads by status, the sources with the most."""
+    total = leads.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("what"), F.lit(None).cast("string").alias("name"), "n")
+    by_status = status_counts(leads).select(F.lit("status").alias("what"), F.col("status").alias("name"), "n")
+    return total.unionByName(by_status).unionByName(top_sources(leads, n).select(F.lit("source").alias("what"), F.col("source").alias("name"), "n"))
+
+
 def top_sources(leads: DataFrame, n: int = 8) -> DataFrame:
     """The sources with the most leads; ties by name."""
     return leads.groupBy("source").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(n)
 
 
 class Snapshots:
-    """Versions of the lead table: a step reads version N and writes N + 1, then moves the pointer. Nothing that is
-    being read is overwritten; a step that fails leaves the pointer where it was."""
+    """The lead table in buckets of its key. A version is a list of folders a bucket; a step writes new folders and then
+    its version file (:class:`Pointer`), so nothing that is being read is overwritten, a step that fails changes
+    nothing, and any process can open the store again.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    An insertion adds folders; results rewrite the buckets they touch, and so does an insertion into a bucket of more
+    than ``parts`` folders.
+    """
 
-    def _fs(self, name: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 32, parts: int = 16):
+        self.spark, self.path, self.parts = spark, path.rstrip("/"), parts
+        self.pointer = Pointer(spark, self.path)
+        self.buckets = self.pointer.read()[1].get("buckets", buckets)
 
     def version(self) -> int:
-        fs, p = self._fs("CURRENT")
-        if not fs.exists(p):
-            return 0
-        return int(json.loads(self.spark.read.text(f"{self.path}/CURRENT").first()[0])["version"])
-
-    def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.read.schema(LEADS).parquet(f"{self.path}/v={v}") if v else self.spark.createDataFrame([], LEADS)
-
-    def write(self, leads: DataFrame) -> int:
-        v = self.version() + 1
-        leads.write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        fs, new = self._fs("CURRENT.new")
-        out = fs.create(new, True)
-        out.write(bytearray(json.dumps({"version": v}).encode()))
-        out.close()
-        _, old = self._fs("CURRENT")
-        fs.delete(old, False)
-        fs.rename(new, old)
-        return v
+        return self.pointer.version()
+
+    def bucket(self):
+        return F.pmod(F.xxhash64("domain"), F.lit(self.buckets)).cast("int")
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        at = [p for b, ps in self.pointer.read()[1].get("parts", {}).items() if buckets is None or int(b) in buckets for p in ps]
+        return self.spark.read.schema(LEADS).parquet(*[f"{self.path}/{p}" for p in at]) if at else self.spark.createDataFrame([], LEADS)
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return [r[0] for r in rows.select(self.bucket().alias("b")).distinct().collect()]
+
+    def _write(self, rows: DataFrame, replace: bool, last: int) -> int:
+        """A new version with ``rows`` added to their buckets, or in place of them."""
+        v, state = self.pointer.read()
+        at = f"v{v + 1}-{uuid.uuid4().hex[:8]}"
+        rows = rows.withColumn("_b", self.bucket())
+        rows.repartition("_b").write.partitionBy("_b").parquet(f"{self.path}/{at}")
+        new = {n.split("=")[1]: f"{at}/{n}" for n in list_names(self.spark, f"{self.path}/{at}") if n.startswith("_b=")}
+        parts = dict(state.get("parts", {}))
+        for b, p in new.items():
+            parts[b] = [p] if replace else [*parts.get(b, []), p]
+        self.pointer.write(v + 1, {"buckets": self.buckets, "parts": parts, "last": last})
+        return v + 1
 
     def insert(self, new: DataFrame) -> int:
         """Insert absent leads; ``seq`` goes on from the largest. Running the same batch again changes nothing."""
-        now = self.read()
-        last = now.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-        rows = insert_absent(new, now)
-        n = rows.count()
+        _, state = self.pointer.read()
+        last, parts = state.get("last", 0), state.get("parts", {})
+        rows = insert_absent(new, self.read().select("domain"))
+        shape = self.spark.createDataFrame([], LEADS)
+        have = [c for c in shape.columns if c in rows.columns and c != "seq"]
+        rows = rows.withColumn("seq", F.col("seq") + last)
+        rows = rows if "status" in have else rows.withColumn("status", F.lit("pending"))
+        rows = cut(shape.unionByName(rows.select("seq", *dict.fromkeys([*have, "status"])), allowMissingColumns=True), "insert")
+        n, high = rows.agg(F.count(F.lit(1)), F.max("seq")).first()
+        if n:
+            full = [int(b) for b, ps in parts.items() if len(ps) >= self.parts]
+            self._write(rows, False, high)
+            if full:
+                self._write(self.read(full), True, high)
+        return n
+
+    def apply(self, results: DataFrame, now: Column | None = None) -> int:
+        """Overwrite the leads that have a result (one a domain); only their buckets are read and written."""
+        results = cut(results, "results")
+        touched = self._touched(results)
+        state = self.pointer.read()[1]
+        old = self.read(touched or [-1])
+        n = old.join(results.select("domain"), "domain", "left_semi").count()
         if n:
-            shape = self.spark.createDataFrame([], LEADS).drop("seq")
-            rows = rows.withColumn("seq", F.col("seq") + last).withColumn("status", F.lit("pending"))
-            self.write(now.unionByName(rows.select("seq", *[c for c in shape.columns if c in rows.columns]), allowMissingColumns=True))
+            self._write(apply_results(old, results, now), True, state.get("last", 0))
         return n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -33,9 +34,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one is set only where the session names none."""
+    """The folder in ``spark.checkpoint.dir``; where the session names none, a local one if Spark itself is local."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='leadweave-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -53,6 +56,56 @@ def delete_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must be new: it is written under another name and appears, whole, by one rename."""
+    jvm = spark.sparkContext._jvm
+    at, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(at) or not fs.rename(draft, at):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+class Pointer:
+    """The state of a written store: numbered files in ``path/_state``, of which the greatest counts. A step that fails
+    before its file is there changes nothing, and two writers of one version exclude each other."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.at = spark, f"{path.rstrip('/')}/_state"
+
+    def version(self) -> int:
+        return max([int(n) for n in list_names(self.spark, self.at) if n.isdigit()], default=0)
+
+    def read(self) -> tuple[int, dict]:
+        v = self.version()
+        return v, json.loads(read_text(self.spark, f"{self.at}/{v}")) if v else {}
+
+    def write(self, version: int, state: dict) -> None:
+        write_text(self.spark, f"{self.at}/{version}", json.dumps(state))
+
+
 def cut(df: DataFrame, what: str = "cut", free: tuple[DataFrame, ...] = ()) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there and survives lost executors.
 
@@ -67,6 +120,3 @@ def cut(df: DataFrame, what: str = "cut", free: tuple[DataFrame, ...] = ()) -> D
     out._leadweave_path = at
     return out
 
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

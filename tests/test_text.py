@@ -29,7 +29,7 @@ def encode(mail, key=0x5A):
     return f"{key:02x}" + "".join(f"{ord(c) ^ key:02x}" for c in mail)
 
 
-@pytest.mark.parametrize(("hexed", "mail"), [(encode("a.b@c.nl"), "a.b@c.nl"), (encode("X@y.de", 0xFF), "X@y.de"), ("zz", ""), ("5a", ""), ("", ""), (None, ""), ("5a3", "")])
+@pytest.mark.parametrize(("hexed", "mail"), [(encode("a.b@c.nl"), "a.b@c.nl"), (encode("X@y.de", 0xFF), "X@y.de"), ("zz", ""), ("5a", ""), ("", ""), (None, ""), ("5a3", "Y"), (encode("a@b.nl")[:-1], "a@b.n" + chr(0x3 ^ 0x5A)), ("5az3", "")])
 def test_cf_decode(spark, hexed, mail):
     assert one(spark, T.cf_decode(F.col("h")), h=hexed) == mail
 
