@@ -224,7 +224,7 @@ area AS (SELECT o.ord, c.country, CASE WHEN o.ord % 4 = 0 THEN c.other_name ELSE
 el AS (SELECT ord, country, used, seq, {d_key('site', 'mail')} AS domain, name, coalesce(nullif(town, ''), used) AS city, CASE WHEN {d_valid(d_strip('mail'))} THEN {d_strip('mail')} END AS mail
   FROM e JOIN area USING (ord) WHERE used IS NOT NULL AND row_id % 10 <> 0 AND row_id % 3 <> 0),
 els AS (SELECT * FROM el WHERE domain <> '' AND country IN ('DE', 'NL', 'TR')),
-hl AS (SELECT domain, arg_min(name, (ord, seq)) AS name, arg_min(city, (ord, seq)) AS city, arg_min(country, (ord, seq)) AS country, 'osm:' || arg_min(used, (ord, seq)) AS source, min((ord, seq)).ord AS ord,
+hl AS (SELECT domain, arg_min(name, (ord, seq)) AS name, arg_min(city, (ord, seq)) AS city, arg_min(country, (ord, seq)) AS country, 'osm:' || arg_min(used, (ord, seq)) AS source, arg_min(ord, (ord, seq)) AS ord,
   CASE WHEN count(mail) > 0 THEN 'done' ELSE 'pending' END AS status, arg_min(mail, (ord, seq)) FILTER (WHERE mail IS NOT NULL) AS email FROM els GROUP BY domain)"""
 
 
