@@ -1,19 +1,20 @@
-"""Deduplicating new batches against all history: a persistent index of minwise band keys.
+"""Deduplicating new batches against all history: a persistent index of band keys.
 
-The distinctive part of an address (a host's name, or the local part at a shared provider) is cut into words, a word
-into its pieces, beginning and end. A band key hashes one of the least minwise values of a word's pieces together
-with the other words as they stand; as many values are kept as a word has pieces, so one slip always leaves a common
-key. A text without borders between words has its long pieces as keys. One slip on each side makes two slipped
-spellings, so only texts with a word that isn't established have keys for that: pieces of two words together with the
-others, and those parts of one word that two slips can't all change together with the others. Every key is stored with the entry's number and its signature (the parity of each letter's count, and a hash of the digits and marks),
-partitioned by a hash of the key. A batch probes only what its own keys can meet: the partitions they fall into and,
-inside these, the fine buckets marked in a bitmap of fixed size. Candidates share a key, then their signatures must
-be within the reach of two slips, then the texts are compared by edit distance. Accepted entries' keys are appended.
+An entry is a mail address or a site, without its writing. Its first band key is a hash of the whole; an entry with a
+word that can be a slip (see :class:`Spelling`) has one more for every established word that it can stand for, with the
+rest as it is. So two slips of one address meet in the address, whether that is an entry or not. An entry with a word
+that isn't established has, besides, keys of the parts that one slip on each side must leave, since there the right
+word may be unknown: minwise values of the word's pieces together with the other words, as many as it has pieces.
+Every key is stored with its entry and the entry's signature (the parity of each letter's count, and a hash of the digits
+and marks), in partitions of a hash of the key.
 
-Only a text with a word that isn't established can hold a slip, so only such texts probe.
+The index is a folder: partitions by step, the established words, and numbered state files of which the greatest
+counts. A new process opens it and goes on. A batch reads only the partitions its own keys fall into and, in
+these, the keys marked in its bitmap of fixed size. Candidates share a key, their signatures must be within the reach
+of two slips, then the entries are compared by edit distance. After that the keys of the entries that the index didn't
+hold yet are appended; known ones add nothing.
 
-Entries carry ``since``, their order of arrival, so batches that arrive later can be told about earlier ones in one
-pass as well as one by one.
+Entries carry ``since``, their order of arrival, so several batches can be told about each other in one step.
 
 Defined results: NULL, blank and placeholder addresses are known from nowhere; a NULL batch counts as the last; equal
 batches don't know each other; ties don't matter, since a row is either known or not; texts of any length are compared
@@ -23,7 +24,6 @@ whole; empty history knows nothing.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,12 +36,12 @@ from leadweave.llm.address import bare_text, host_text, mail_text
 from leadweave.llm.batches import with_row_function
 from leadweave.llm.edit import damerau
 from leadweave.llm.marks import Marks
-from leadweave.session import cut, work_path
+from leadweave.llm.spelling import SHARE, Spelling, count_words, spelling
+from leadweave.session import Pointer, cut, delete_path, work_path
 
 SLIPS = 2  # one on each side
-#: A word that stands in so many entries, and in more than one of ``SHARE``, is a word of its own and no slip. There
-#: are at most ``SHARE`` times the words of an entry such words, so they can travel with the tasks.
-ESTABLISHED, SHARE = 4, 50_000
+
+
 def _h(text: str, seed: int) -> int:
     return xxhash.xxh64_intdigest(text, seed)
 
@@ -63,6 +63,8 @@ def minwise(word: str, n: int = 4) -> tuple[int, ...]:
 
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+
+
 def shorter(word: str, most: int) -> set[str]:
     """The word without up to ``most`` (1 or 2) of its letters. Both spellings of one slip have such a form of one letter
     less in common, those of a slip on each side one of two less."""
@@ -100,30 +102,34 @@ def twice(word: str, alone: bool) -> set[str]:
     return out
 
 
-def band_keys(kind: str, text: str, established: frozenset[str] = frozenset()) -> list[int]:
-    """The band keys of a text, signed 64 bits each. Texts one slip apart have one in common, and so have texts that are
-    both one slip away from a third, if the slips made words that aren't ``established``."""
-    w = _LETTERS.findall(text)
-    frame = kind + _LETTERS.sub("a", text)
-    rare = [i for i, x in enumerate(w) if x not in established]
-    if len(w) >= 2:
-        out = {_h(f"{frame} {i} {m} " + " ".join(w[:i] + w[i + 1 :]), 1) for i, x in enumerate(w) for m in minwise(x)}
-    else:
-        # of a slip in the last, the first or the middle part, one of three long pieces doesn't notice
-        n = len(text)
-        sizes = {-(-6 * (n + d) // 10) for d in (-1, 0, 1)}
-        out = {_h(f"{frame} {p}", 2) for k in sizes for p in (text[:k] + "<", ">" + text[-k:])}
-        out |= {_h(f"{frame} {text[:k]}<>{text[-k:]}", 2) for k in {(n + d) // 3 for d in (-1, 0, 1)} if k}
-    for i, x in enumerate(w):
-        rest = " ".join(w[:i] + w[i + 1 :])
+def letter_words(text: str) -> tuple[str, str, list[str]]:
+    """(the text but for its ending, the ending, words of the first). A slip is in a word; another ending is another place."""
+    at = text.rfind(".")
+    body, ending = (text[:at], text[at:]) if at > text.find("@") else (text, "")
+    return body, ending, _LETTERS.findall(body)
+
+
+def band_keys(kind: str, text: str, known: Spelling) -> list[int]:
+    """The band keys of a text, signed 64 bits each, the whole text's first. Texts one slip apart have one in common, and
+    so have texts that are both one slip away from a third."""
+    body, ending, w = letter_words(text)
+    frame = kind + _LETTERS.sub("a", body) + ending
+    out = {_h(frame + " " + " ".join(w), 1)}
+    first = next(iter(out))
+    rare = [i for i, x in enumerate(w) if not known.sound(x)]
+    for i in rare:
+        out |= {_h(frame + " " + " ".join([*w[:i], v, *w[i + 1 :]]), 1) for v in known.options(w[i])}
+    lone = [i for i in rare if w[i] not in known.counts]
+    for i in lone:
+        x, rest = w[i], " ".join(w[:i] + w[i + 1 :])
+        out |= {_h(f"{frame} {i} {m} {rest}", 2) for m in minwise(x)}
         if len(x) <= 5:
             out |= {_h(f"{frame} {i} {p} {rest}", 3) for p in shorter(x, 1)}
-        if i in rare:
-            out |= {_h(f"{frame} {i} {p} {rest}", 4) for p in twice(x, not rest)}
-    for i, j in {(min(i, j), max(i, j)) for i in rare for j in range(len(w)) if i != j}:
+        out |= {_h(f"{frame} {i} {p} {rest}", 4) for p in twice(x, len(w) == 1)}
+    for i, j in {(min(i, j), max(i, j)) for i in lone for j in range(len(w)) if i != j}:
         rest = " ".join(w[:i] + w[i + 1 : j] + w[j + 1 :])
         out |= {_h(f"{frame} {i} {p} {j} {q} {rest}", 5) for p in pieces_or_forms(w[i]) for q in pieces_or_forms(w[j])}
-    return [k - (1 << 64) if k >= 1 << 63 else k for k in out]
+    return [k - (1 << 64) if k >= 1 << 63 else k for k in (first, *(out - {first}))]
 
 
 def signature(kind: str, text: str) -> int:
@@ -143,49 +149,74 @@ def slips(a: str, b: str) -> int:
     return d if d <= SLIPS else 99
 
 
-class BandIndex:
-    """Entries (``id``, ``kind``, ``text``) by band key, in ``buckets`` partitions of a hash of the key."""
-
-    SCHEMA = "key long, id long, sig long"
+def plausible(a: str, b: str, known: Spelling) -> bool:
+    """The texts have equal digits, marks and endings and are within two slips, and what differs can be slips: a word
+    edited once has a side that isn't sound, a word edited twice has two."""
+    x, end_x, v = letter_words(a)
+    y, end_y, w = letter_words(b)
+    if end_x != end_y or slips(x, y) > SLIPS:
+        return False
+    return all(p == q or damerau(p, q) + known.sound(p) + known.sound(q) <= 2 for p, q in zip(v, w, strict=True))
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
-        self.spark, self.path, self.buckets, self.steps = spark, path or work_path(spark, "bands"), buckets, 0
 
-    @staticmethod
-    def keys(entries: DataFrame, established: frozenset[str] = frozenset(), probes: bool = False) -> DataFrame:
-        """Keys of all entries or, with ``probes``, of those that can hold a slip."""
+class BandIndex:
+    """Entries (``kind``, ``text``, ``origin``, ``since``) by band key in a folder. ``counts``: the established words,
+    given when the index is made and read from it when it is opened again."""
+
+    ENTRY = "kind string, text string, origin string, since int"
+    SCHEMA = f"key long, whole boolean, sig long, {ENTRY}"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, counts: dict[str, int] | None = None, buckets: int = 32):
+        self.spark, self.path = spark, (path or work_path(spark, "bands")).rstrip("/")
+        self.pointer = Pointer(spark, self.path)
+        version, state = self.pointer.read()
+        if not version:
+            state = {"buckets": buckets, "steps": []}
+            spark.createDataFrame(list((counts or {}).items()), "w string, n long").write.mode("overwrite").parquet(f"{self.path}/words")
+            self.pointer.write(1, state)
+        else:
+            counts = {r[0]: r[1] for r in spark.read.parquet(f"{self.path}/words").collect()}
+        self.buckets = state["buckets"]
+        self.sent = spark.sparkContext.broadcast(counts or {})
+
+    def keys(self, entries: DataFrame) -> DataFrame:
+        """All band keys of entries; ``whole`` marks the one of the text as it stands."""
+        sent = self.sent
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = spelling(sent)
             for pdf in filter(len, batches):
-                key, ids, sig = [], [], []
-                for i, k, t in zip(pdf["id"], pdf["kind"], pdf["text"], strict=True):
-                    if probes and all(w in established for w in _LETTERS.findall(t)):
-                        continue
-                    own = band_keys(k, t, established)
-                    key += own
-                    ids += [i] * len(own)
-                    sig += [signature(k, t)] * len(own)
-                yield pd.DataFrame({"key": pd.Series(key, dtype="int64"), "id": pd.Series(ids, dtype="int64"), "sig": pd.Series(sig, dtype="int64")})
-
-        return entries.select("id", "kind", "text").mapInPandas(run, BandIndex.SCHEMA)
+                keys = [band_keys(k, t, known) for k, t in zip(pdf["kind"], pdf["text"], strict=True)]
+                n = pd.Series([len(k) for k in keys])
+                out = pdf.loc[pdf.index.repeat(n.to_numpy())].reset_index(drop=True)
+                out.insert(0, "key", pd.Series([x for k in keys for x in k], dtype="int64"))
+                out.insert(1, "whole", pd.Series([j == 0 for m in n for j in range(m)], dtype="bool"))
+                # an entry with one key can only meet by equal keys, and those need no signature
+                out.insert(2, "sig", pd.Series([s for k, t, m in zip(pdf["kind"], pdf["text"], n, strict=True) for s in [signature(k, t)] * m], dtype="int64"))
+                yield out
+
+        return entries.select("kind", "text", "origin", F.col("since").cast("int").alias("since")).mapInPandas(run, self.SCHEMA)
 
     def bucket(self) -> Column:
         return F.pmod(F.col("key"), F.lit(self.buckets)).cast("int")
 
-    def append(self, entries: DataFrame, established: frozenset[str] = frozenset()) -> None:
-        """Add the keys of accepted entries to their partitions. Tasks write to the partitions themselves, without a
-        shuffle, as long as that makes no more than some thousand files."""
-        self.steps += 1
-        rows = self.keys(entries, established).withColumn("bucket", self.bucket())
-        if entries.rdd.getNumPartitions() > 256:
+    def append(self, keys: DataFrame) -> None:
+        """Add keys of accepted entries to their partitions. Tasks write to the partitions themselves, without a shuffle,
+        as long as that makes no more than some thousand files. The step counts once its state file is written."""
+        version, state = self.pointer.read()
+        step = f"step={version}"
+        rows = keys.withColumn("bucket", self.bucket())
+        if keys.rdd.getNumPartitions() > 256:
             rows = rows.repartition(self.buckets * 16, "bucket", F.pmod("key", F.lit(self.buckets * 16)))
-        rows.write.partitionBy("bucket").parquet(f"{self.path}/step={self.steps}")
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{step}")
+        self.pointer.write(version + 1, state | {"steps": [*state["steps"], step]})
 
-    def read(self, buckets=None) -> DataFrame:
-        if not self.steps:
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        steps = self.pointer.read()[1]["steps"]
+        if not steps:
             return self.spark.createDataFrame([], self.SCHEMA)
-        df = self.spark.read.option("basePath", self.path).schema(self.SCHEMA + ", step int, bucket int").parquet(self.path)
-        return (df if buckets is None else df.filter(F.col("bucket").isin(*buckets))).select("key", "id", "sig")
+        df = self.spark.read.option("basePath", self.path).schema(self.SCHEMA + ", step int, bucket int").parquet(*[f"{self.path}/{s}" for s in steps])
+        return (df if buckets is None else df.filter(F.col("bucket").isin(*buckets))).drop("step", "bucket")
 
     @staticmethod
     def within_reach(a: Column, b: Column) -> Column:
@@ -193,32 +224,71 @@ class BandIndex:
         x = a.bitwiseXOR(b)
         return (F.shiftright(x, 26) == 0) & (F.bit_count(x) <= 2 * SLIPS)
 
-    def candidates(self, probes: DataFrame, established: frozenset[str] = frozenset()) -> DataFrame:
-        """Pairs (``a``, ``b``) of a probe that can hold a slip and an entry."""
-        keys = cut(self.keys(probes, established, probes=True), "probe")
+    def matching(self, keys: DataFrame) -> DataFrame:
+        """The stored keys that some keys can meet: only their partitions are read, and what isn't marked is left there."""
         touched = [r[0] for r in keys.select(self.bucket().alias("x")).distinct().collect()]
-        marks = Marks(keys, "key")
-        p = keys.select("key", F.col("id").alias("a"), F.col("sig").alias("sa"))
-        q = self.read(touched or [-1]).filter(marks.has(F.col("key"))).select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
-        return p.join(q, "key").filter((F.col("a") != F.col("b")) & self.within_reach(F.col("sa"), F.col("sb"))).select("a", "b").distinct()
+        return self.read(touched or [-1]).filter(Marks(keys, "key").has(F.col("key")))
+
+    def hits(self, keys: DataFrame, stored: DataFrame) -> DataFrame:
+        """(``kind``, ``text``, ``origin``, ``since``): for every probed text and origin the least ``since`` of the
+        stored entries that mean the same."""
+        p = keys.select("key", "kind", "text", "sig", "whole")
+        s = stored.select("key", F.col("kind").alias("k2"), F.col("text").alias("t2"), F.col("sig").alias("s2"), "origin", "since", F.col("whole").alias("w2"))
+        p, s = p.alias("p"), s.alias("s")
+        pairs = p.join(s, "key").filter((F.col("kind") == F.col("k2")) & self.within_reach(F.col("sig"), F.col("s2")))
+        # equal texts meet in their whole keys as well: there they count, once
+        same = (F.col("text") == F.col("t2"))
+        pairs = pairs.filter(~same | (F.col("whole") & F.col("w2")))
+        one = pairs.groupBy("kind", "text", "t2", "origin").agg(F.min("since").alias("since"))
+        sent = self.sent
+
+        def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = spelling(sent)
+            for pdf in filter(len, batches):
+                yield pdf.loc[[plausible(a, b, known) for a, b in zip(pdf["text"], pdf["t2"], strict=True)], ["kind", "text", "origin", "since"]]
+
+        good = one.filter("text <> t2").mapInPandas(verify, self.ENTRY)
+        good = good.unionByName(one.filter("text = t2").select("kind", "text", "origin", "since"))
+        return good.groupBy("kind", "text", "origin").agg(F.min("since").alias("since"))
 
 
 # ------------------------------------------------------------------ addresses
 
+#: Labels below a country's ending under which firms register, such as ``co`` in ``co.uk``.
+SECOND_LEVEL = ("ac", "biz", "co", "com", "edu", "gen", "gob", "gov", "ind", "info", "ltd", "me", "name", "ne", "net", "nom", "or", "org", "plc", "sch", "web")
+_MAIL = re.compile(r"(?:mailto:)?([a-z0-9][a-z0-9._%-]*)(?:\+[a-z0-9._%+-]*)?@([a-z0-9][a-z0-9.-]*[a-z0-9])")
+_WEB = re.compile(r"(?:https?://)?(?:www\.)?([a-z0-9][a-z0-9.-]*[a-z0-9])(?:/[!-~]*)?")
+
+
+def registered(host: str, second: frozenset[str] = frozenset(SECOND_LEVEL)) -> str:
+    """The host without subdomains: the ending and the label before it. An ending has two labels if the last one is a
+    country's (two letters) and the one before is one of ``second``."""
+    labels = host.split(".")
+    n = 3 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in second else 2
+    return ".".join(labels[-n:])
+
+
+def name_label(host: str) -> str:
+    """The label before the ending, the whole of a host without dots."""
+    return registered(host).split(".")[0]
+
 
 class Parser:
-    """Parts of a mail address and a site; ``providers`` are the hosts that many firms share."""
+    """Parts of a mail address and a site; ``providers`` are the hosts that many firms share, ``second`` the labels of
+    two-part endings."""
 
-    def __init__(self, providers: list[str]):
-        self.providers = providers
+    def __init__(self, providers: list[str], second: frozenset[str] = frozenset(SECOND_LEVEL)):
+        self.providers, self.second = frozenset(providers), second
         # one edit leaves a host's first four letters or what follows the fifth as they are
         heads, tails = {}, {}
         for p in providers:
-            heads.setdefault(4, {}).setdefault(p[:4], []).append(p)
+            heads.setdefault(p[:4], []).append(p)
             tails.setdefault(len(p[5:]), {}).setdefault(p[5:], []).append(p)
 
         def like(host: str) -> bool:
-            near = [p for k, at in heads.items() for p in at.get(host[:k], ())] + [p for k, at in tails.items() for p in at.get(host[-k:] if k else "", ())]
+            if host in self.providers:
+                return True
+            near = heads.get(host[:4], []) + [p for k, at in tails.items() for p in at.get(host[-k:] if k else "", ())]
             return any(damerau(host, p, 1) <= 1 for p in near)
 
         self.at_provider = lru_cache(1 << 16)(like)
@@ -235,17 +305,24 @@ class Parser:
 
     def site(self, host: str) -> str | None:
         """Host without subdomains; None for a provider's."""
-        s = ".".join(host.split(".")[-2:])
-        return None if not host or self.at_provider(s) or self.at_provider(host) else s
-
-    def _parse(self, one: str | None, other: str | None):
-        a, b = bare_text(one), bare_text(other)
-        return (*self.mailbox(mail_text(a) or mail_text(b)), self.site(host_text(b) or host_text(a)))
+        s = registered(host, self.second)
+        return None if not host or self.at_provider(s) or (s != host and self.at_provider(host)) else s
 
+    @staticmethod
+    def split(value: str | None) -> tuple[str, str]:
+        """(mail address, host) of a value, one of them ''."""
+        v = (value or "").lower()
+        if v.isascii():
+            if m := _WEB.fullmatch(v):
+                return ("", m[1]) if v != "none" else ("", "")
+            if m := _MAIL.fullmatch(v):
+                return f"{m[1]}@{m[2]}", ""
+        v = bare_text(value)
+        return mail_text(v), host_text(v)
 
-def name_label(host: str) -> str:
-    """The label before the ending, the whole of a host without dots."""
-    return host.split(".")[-2] if "." in host else host
+    def _parse(self, one: str | None, other: str | None):
+        (mail, host), (mail2, host2) = self.split(one), self.split(other)
+        return (*self.mailbox(mail or mail2), self.site(host2 or host))
 
 
 def parsed(df: DataFrame, keep: list[str], one: str, other: str, providers: list[str]) -> DataFrame:
@@ -261,92 +338,57 @@ def provider_hosts(table: DataFrame, bound: int = 1000) -> list[str]:
     return sorted(rows)
 
 
-def slips_col(a, b) -> Column:
-    """:func:`slips` of two columns."""
-    return F.pandas_udf(lambda x, y: pd.Series([slips(p, q) for p, q in zip(x, y, strict=True)], dtype="int32"), "int")(a, b)
-
-
-def established_words(texts: DataFrame) -> frozenset[str]:
-    """The words that stand in many entries; see ``ESTABLISHED``."""
+def as_entries(df: DataFrame, origin: str, since: Column) -> DataFrame:
+    """Distinct entries of rows with ``address`` and ``site`` (one may be missing)."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("text")) for k, c in (("m", "address"), ("s", "site")) if c in df.columns])
+    x = df.select(F.explode(kinds).alias("e"), since.cast("int").alias("since")).select("e.kind", "e.text", "since").filter("text is not null")
+    return x.groupBy("kind", "text").agg(F.min("since").alias("since")).withColumn("origin", F.lit(origin))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = Counter()
-        for pdf in batches:
-            for t in pdf["text"]:
-                n[""] += 1
-                n.update(set(_LETTERS.findall(t)))
-            if len(n) > 500_000:
-                yield pd.DataFrame({"w": list(n), "n": list(n.values())})
-                n = Counter()
-        if n:
-            yield pd.DataFrame({"w": list(n), "n": list(n.values())})
-
-    got = texts.select("text").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    total = (got.filter("w = ''").first() or [0, 0])[1]
-    return frozenset(r[0] for r in got.filter((F.col("w") != "") & (F.col("n") >= max(ESTABLISHED, total / SHARE))).select("w").collect())
-
-
-def plausible(a: str, b: str, established: frozenset[str]) -> bool:
-    """The texts are within two slips, and what differs can be slips: a word edited once has a side that isn't
-    established, a word edited twice has two."""
-    if not a or slips(a, b) > SLIPS:
-        return False
-    for x, y in zip(_LETTERS.findall(a), _LETTERS.findall(b), strict=True):
-        if x != y and damerau(x, y) + (x in established) + (y in established) > 2:
-            return False
-    return True
 
+LAST = (1 << 31) - 1
 
-def near_texts(texts: DataFrame, index: BandIndex | None = None) -> DataFrame:
-    """Distinct (``kind``, ``text``) -> (``kind``, ``t1``, ``t2``) that are plausibly the same, both ways round."""
-    numbered = cut(texts.withColumn("id", F.xxhash64("kind", "text")), "texts")
-    established = established_words(numbered)
-    index = index or BandIndex(texts.sparkSession)
-    index.append(numbered, established)
-    pairs = index.candidates(numbered, established)
-    t = numbered.select("id", "kind", "text")
-    x = pairs.join(t.select(F.col("id").alias("a"), "kind", F.col("text").alias("t1")), "a").join(t.select(F.col("id").alias("b"), F.col("text").alias("t2")), "b")
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in filter(len, batches):
-            yield pdf[[plausible(p, q, established) for p, q in zip(pdf["t1"], pdf["t2"], strict=True)]]
+def add_batch(index: BandIndex, rows: DataFrame) -> DataFrame:
+    """(``seq``, ``hist_src``) of the rows (``seq``, ``batch``, ``address``, ``site``) of one or several batches that are
+    known from the index or from an earlier one of these batches; then what the index didn't hold is appended."""
+    keys = cut(index.keys(as_entries(rows, "leads", F.col("batch"))), "probe")
+    stored = cut(index.matching(keys), "stored")
+    mine = keys.filter("kind = 'm'")
+    found = cut(index.hits(keys, stored.unionByName(mine)), "hits", free=(stored,))
+    # a text that the index holds from leads already adds nothing; the others are accepted spellings
+    there = index.matching(mine).filter("whole and origin = 'leads'").select("kind", "text")
+    index.append(mine.join(there, ["kind", "text"], "left_anti").select(keys.columns))
+    delete_path(index.spark, keys._leadweave_path)
+    since = lambda o: F.min(F.when(F.col("origin") == o, F.col("since")))
+    by = found.groupBy("kind", "text").agg(since("sent_log").alias("sent"), since("leads").alias("first"), since("firmalar").alias("campaign"))
+    m = rows.filter("address is not null").select("seq", "batch", F.lit("m").alias("kind"), F.col("address").alias("text"))
+    s = rows.filter("site is not null").select("seq", "batch", F.lit("s").alias("kind"), F.col("site").alias("text"))
+    x = m.unionByName(s).join(by, ["kind", "text"])
+    src = F.array_compact(F.array(F.when(F.col("sent").isNotNull() & (F.col("kind") == "m"), "sent_log"), F.when((F.col("first") < F.col("batch")) & (F.col("kind") == "m"), "leads"), F.when(F.col("campaign").isNotNull() & (F.col("kind") == "s"), "firmalar")))
+    return x.select("seq", F.explode(src).alias("hist_src"))
 
-    good = x.select("kind", "t1", "t2").mapInPandas(verify, "kind string, t1 string, t2 string")
-    good = cut(good, "good")
-    return good.unionByName(good.select("kind", F.col("t2").alias("t1"), F.col("t1").alias("t2"))).distinct()
 
+def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, providers: list[str], rounds: int = 3, path: str | None = None) -> DataFrame:
+    """(``seq``, ``hist_src``): every lead already known, once per history.
 
-def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, providers: list[str]) -> DataFrame:
-    """(``seq``, ``hist_src``): every lead already known, once per history."""
+    The histories go into a new index first, then the batches in order of arrival, in ``rounds`` steps.
+    """
+    spark = leads.sparkSession
     nothing = F.lit(None).cast("string").alias("nothing")
-    leads = leads.select("seq", F.coalesce("batch_no", F.lit(1 << 30)).alias("batch"), "email", "domain")
-    rows = cut(parsed(leads, ["seq", "batch"], "email", "domain", providers), "leads")
-    boxes = parsed(sent.select("email", nothing), [], "email", "nothing", providers).filter("address is not null").groupBy("address", "kind", "text").agg(F.lit(0).alias("sent"))
-    own = rows.filter("address is not null").groupBy("address", "kind", "text").agg(F.min("batch").alias("since"))
-    boxes = cut(own.join(boxes, ["address", "kind", "text"], "full_outer"), "boxes")
-    sites = parsed(campaign.select("site", nothing).withColumnRenamed("site", "web"), [], "nothing", "web", providers).filter("site is not null").select("site").distinct().withColumn("campaign", F.lit(1))
-    sites = rows.filter("site is not null").select("site").distinct().withColumn("lead", F.lit(1)).join(sites, "site", "full_outer")
-    sites = cut(sites.withColumn("text", F.when(F.instr("site", ".") == 0, F.col("site")).otherwise(F.substring_index(F.substring_index("site", ".", -2), ".", 1))), "sites")
-
-    texts = boxes.select("kind", "text").unionByName(sites.select(F.lit("h").alias("kind"), "text")).filter("text <> ''").distinct()
-    near = near_texts(texts)
-
-    # mailboxes: of one text, or of near texts
-    left = boxes.select(F.col("address").alias("a1"), "kind", F.col("text").alias("t1")).filter(F.col("since").isNotNull())
-    right = boxes.select(F.col("address").alias("a2"), "kind", F.col("text").alias("t2"), "sent", "since")
-    same = left.join(right, (left["kind"] == right["kind"]) & (left["t1"] == right["t2"])).filter("a1 <> a2").select("a1", "a2", "sent", "since")
-    other = left.join(near, ["kind", "t1"]).join(right, ["kind", "t2"]).select("a1", "a2", "sent", "since")
-    hits = same.unionByName(other).filter(F.abs(F.length("a1") - F.length("a2")) <= SLIPS).filter(slips_col("a1", "a2") <= SLIPS)
-    hits = hits.select(F.col("a1").alias("address"), "sent", "since").unionByName(boxes.select("address", "sent", "since"))
-    hits = hits.groupBy("address").agg(F.min("sent").alias("sent"), F.min("since").alias("since"))
-
-    l, c = sites.filter("lead = 1").select("site", "text"), sites.filter("campaign = 1")
-    ending = lambda col: F.substring_index(col, ".", -1)
-    by_slip = l.join(near.filter("kind = 'h'").select(F.col("t1").alias("text"), "t2"), "text").join(c.select(F.col("site").alias("s2"), F.col("text").alias("t2")), "t2")
-    by_slip = by_slip.filter(ending(F.col("site")) == ending(F.col("s2"))).select("site")
-    there = by_slip.unionByName(c.filter("lead = 1").select("site")).distinct().withColumn("campaign", F.lit(True))
-
-    r = rows.filter("address is not null").select("seq", "batch", "address").join(hits, "address")
-    src = F.array_compact(F.array(F.when(F.col("sent").isNotNull(), "sent_log"), F.when(F.col("since") < F.col("batch"), "leads")))
-    out = r.select("seq", F.explode(src).alias("hist_src"))
-    return out.unionByName(rows.filter("site is not null").select("seq", "site").join(there, "site").select("seq", F.lit("firmalar").alias("hist_src")))
+    rows = cut(parsed(leads.select("seq", F.coalesce("batch_no", F.lit(LAST)).alias("batch"), "email", "domain"), ["seq", "batch"], "email", "domain", providers).drop("kind", "text"), "leads")
+    boxes = as_entries(parsed(sent.select("email", nothing), [], "email", "nothing", providers).select("address"), "sent_log", F.lit(0))
+    sites = as_entries(parsed(campaign.select(F.col("site").alias("web"), nothing), [], "nothing", "web", providers).select("site"), "firmalar", F.lit(0))
+    old = cut(boxes.unionByName(sites), "history")
+    text = rows.select(F.explode(F.array("address", "site")).alias("text")).filter("text is not null")
+    counts = count_words(old.select("text").unionByName(text), lambda t: letter_words(t)[2], SHARE)
+    index = BandIndex(spark, path, counts)
+    index.append(index.keys(old))
+    delete_path(spark, old._leadweave_path)
+    low, high = rows.filter(F.col("batch") < LAST).agg(F.min("batch"), F.max("batch")).first()
+    steps = sorted({low + (high - low + 1) * k // rounds for k in range(rounds)}) if low is not None else [0]
+    out = None
+    for at, end in zip(steps, [*steps[1:], None], strict=True):
+        here = rows if len(steps) == 1 else rows.filter((F.col("batch") >= at) & (F.col("batch") < end) if end is not None else F.col("batch") >= at)
+        got = cut(add_batch(index, here), "known")
+        out = got if out is None else out.unionByName(got)
+    return out.distinct()
