@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from leadweave.llm.address import bare_text, host_text, mail_text
 from leadweave.llm.batches import with_row_function
 from leadweave.llm.edit import damerau
 from leadweave.llm.marks import Marks
-from leadweave.llm.spelling import SHARE, Spelling, count_words, spelling
+from leadweave.llm.spelling import Spelling, established, spelling
 from leadweave.session import Pointer, cut, delete_path, work_path
 
 SLIPS = 2  # one on each side
@@ -109,16 +110,16 @@ def letter_words(text: str) -> tuple[str, str, list[str]]:
     return body, ending, _LETTERS.findall(body)
 
 
-def band_keys(kind: str, text: str, known: Spelling) -> list[int]:
-    """The band keys of a text, signed 64 bits each, the whole text's first. Texts one slip apart have one in common, and
-    so have texts that are both one slip away from a third."""
+def band_keys(kind: str, text: str, known: Spelling) -> tuple[list[int], bool]:
+    """(band keys of a text, signed 64 bits each, the whole text's first; whether it has a word that isn't established).
+    Texts one slip apart have a key in common, and so have texts that are both one slip away from a third."""
     body, ending, w = letter_words(text)
     frame = kind + _LETTERS.sub("a", body) + ending
-    out = {_h(frame + " " + " ".join(w), 1)}
-    first = next(iter(out))
+    first = _h(frame + " " + " ".join(w), 1)
     rare = [i for i, x in enumerate(w) if not known.sound(x)]
-    for i in rare:
-        out |= {_h(frame + " " + " ".join([*w[:i], v, *w[i + 1 :]]), 1) for v in known.options(w[i])}
+    if not rare:
+        return [first - (1 << 64) if first >= 1 << 63 else first], False
+    out = {_h(frame + " " + " ".join([*w[:i], v, *w[i + 1 :]]), 1) for i in rare for v in known.options(w[i])}
     lone = [i for i in rare if w[i] not in known.counts]
     for i in lone:
         x, rest = w[i], " ".join(w[:i] + w[i + 1 :])
@@ -129,7 +130,7 @@ def band_keys(kind: str, text: str, known: Spelling) -> list[int]:
     for i, j in {(min(i, j), max(i, j)) for i in lone for j in range(len(w)) if i != j}:
         rest = " ".join(w[:i] + w[i + 1 : j] + w[j + 1 :])
         out |= {_h(f"{frame} {i} {p} {j} {q} {rest}", 5) for p in pieces_or_forms(w[i]) for q in pieces_or_forms(w[j])}
-    return [k - (1 << 64) if k >= 1 << 63 else k for k in (first, *(out - {first}))]
+    return [k - (1 << 64) if k >= 1 << 63 else k for k in (first, *(out - {first}))], bool(lone)
 
 
 def signature(kind: str, text: str) -> int:
@@ -183,31 +184,36 @@ class BandIndex:
         """All band keys of entries; ``whole`` marks the one of the text as it stands."""
         sent = self.sent
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = spelling(sent)
-            for pdf in filter(len, batches):
-                keys = [band_keys(k, t, known) for k, t in zip(pdf["kind"], pdf["text"], strict=True)]
-                n = pd.Series([len(k) for k in keys])
-                out = pdf.loc[pdf.index.repeat(n.to_numpy())].reset_index(drop=True)
-                out.insert(0, "key", pd.Series([x for k in keys for x in k], dtype="int64"))
-                out.insert(1, "whole", pd.Series([j == 0 for m in n for j in range(m)], dtype="bool"))
-                # an entry with one key can only meet by equal keys, and those need no signature
-                out.insert(2, "sig", pd.Series([s for k, t, m in zip(pdf["kind"], pdf["text"], n, strict=True) for s in [signature(k, t)] * m], dtype="int64"))
-                yield out
-
-        return entries.select("kind", "text", "origin", F.col("since").cast("int").alias("since")).mapInPandas(run, self.SCHEMA)
+            for b in batches:
+                key, whole, sig, at = [], [], [], []
+                kinds, texts = (b.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("kind", "text"))
+                for i, (k, t) in enumerate(zip(kinds, texts, strict=True)):
+                    own, lone = band_keys(k, t, known)
+                    key += own
+                    n = len(own)
+                    if n == 1:
+                        whole.append(True)
+                        sig.append(None)
+                        at.append(i)
+                    else:
+                        whole += [True, *[False] * (n - 1)]
+                        sig += [signature(k, t) if lone else None] * n
+                        at += [i] * n
+                rest = b.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(whole, pa.bool_()), pa.array(sig, pa.int64()), *rest.columns], ["key", "whole", "sig", *rest.schema.names])
+
+        return entries.select("kind", "text", "origin", F.col("since").cast("int").alias("since")).mapInArrow(run, self.SCHEMA)
 
     def bucket(self) -> Column:
         return F.pmod(F.col("key"), F.lit(self.buckets)).cast("int")
 
     def append(self, keys: DataFrame) -> None:
-        """Add keys of accepted entries to their partitions. Tasks write to the partitions themselves, without a shuffle,
-        as long as that makes no more than some thousand files. The step counts once its state file is written."""
+        """Add keys of accepted entries to their partitions. The step counts once its state file is written."""
         version, state = self.pointer.read()
         step = f"step={version}"
-        rows = keys.withColumn("bucket", self.bucket())
-        if keys.rdd.getNumPartitions() > 256:
-            rows = rows.repartition(self.buckets * 16, "bucket", F.pmod("key", F.lit(self.buckets * 16)))
+        rows = keys.withColumn("bucket", self.bucket()).repartition("bucket")
         rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{step}")
         self.pointer.write(version + 1, state | {"steps": [*state["steps"], step]})
 
@@ -220,14 +226,15 @@ class BandIndex:
 
     @staticmethod
     def within_reach(a: Column, b: Column) -> Column:
-        """Signatures that two slips can be apart: equal digits and marks, at most four letters of other parity."""
+        """Signatures that two slips can be apart: equal digits and marks, at most four letters of other parity. Entries
+        without one have no keys but of whole texts."""
         x = a.bitwiseXOR(b)
-        return (F.shiftright(x, 26) == 0) & (F.bit_count(x) <= 2 * SLIPS)
+        return F.coalesce((F.shiftright(x, 26) == 0) & (F.bit_count(x) <= 2 * SLIPS), F.lit(True))
 
     def matching(self, keys: DataFrame) -> DataFrame:
         """The stored keys that some keys can meet: only their partitions are read, and what isn't marked is left there."""
         touched = [r[0] for r in keys.select(self.bucket().alias("x")).distinct().collect()]
-        return self.read(touched or [-1]).filter(Marks(keys, "key").has(F.col("key")))
+        return Marks(keys, "key").keep(self.read(touched or [-1]), "key")
 
     def hits(self, keys: DataFrame, stored: DataFrame) -> DataFrame:
         """(``kind``, ``text``, ``origin``, ``since``): for every probed text and origin the least ``since`` of the
@@ -354,11 +361,12 @@ def add_batch(index: BandIndex, rows: DataFrame) -> DataFrame:
     keys = cut(index.keys(as_entries(rows, "leads", F.col("batch"))), "probe")
     stored = cut(index.matching(keys), "stored")
     mine = keys.filter("kind = 'm'")
-    found = cut(index.hits(keys, stored.unionByName(mine)), "hits", free=(stored,))
+    found = cut(index.hits(keys, stored.unionByName(mine)), "hits")
     # a text that the index holds from leads already adds nothing; the others are accepted spellings
-    there = index.matching(mine).filter("whole and origin = 'leads'").select("kind", "text")
+    there = stored.filter("whole and origin = 'leads'").select("kind", "text")
     index.append(mine.join(there, ["kind", "text"], "left_anti").select(keys.columns))
     delete_path(index.spark, keys._leadweave_path)
+    delete_path(index.spark, stored._leadweave_path)
     since = lambda o: F.min(F.when(F.col("origin") == o, F.col("since")))
     by = found.groupBy("kind", "text").agg(since("sent_log").alias("sent"), since("leads").alias("first"), since("firmalar").alias("campaign"))
     m = rows.filter("address is not null").select("seq", "batch", F.lit("m").alias("kind"), F.col("address").alias("text"))
@@ -379,9 +387,10 @@ def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, provider
     boxes = as_entries(parsed(sent.select("email", nothing), [], "email", "nothing", providers).select("address"), "sent_log", F.lit(0))
     sites = as_entries(parsed(campaign.select(F.col("site").alias("web"), nothing), [], "nothing", "web", providers).select("site"), "firmalar", F.lit(0))
     old = cut(boxes.unionByName(sites), "history")
-    text = rows.select(F.explode(F.array("address", "site")).alias("text")).filter("text is not null")
-    counts = count_words(old.select("text").unionByName(text), lambda t: letter_words(t)[2], SHARE)
-    index = BandIndex(spark, path, counts)
+    text = old.select("text").unionByName(rows.select(F.explode(F.array("address", "site")).alias("text")).filter("text is not null"))
+    words = text.select(F.explode(F.array_distinct(F.split(F.regexp_replace("text", r"\.[^.@]*\z", ""), r"[^\p{L}]+"))).alias("w"))
+    n_old = old.count()
+    index = BandIndex(spark, path, established(words, text.count()), buckets=min(1024, max(8, n_old // 250_000)))
     index.append(index.keys(old))
     delete_path(spark, old._leadweave_path)
     low, high = rows.filter(F.col("batch") < LAST).agg(F.min("batch"), F.max("batch")).first()

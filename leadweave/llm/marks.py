@@ -2,36 +2,25 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fine buckets: 4 MB of bits, whatever the data. Fuller bitmaps let more rows pass, never fewer than must.
-FINE = 1 << 25
+#: One MB of bits, whatever the data. Fuller bitmaps let more rows pass, never fewer than must.
+BITS = 1 << 23
 
 
 class Marks:
-    """The fine buckets of a column of longs. Built by partial bitmaps on the executors; sent to the tasks once."""
-
-    def __init__(self, df: DataFrame, column: str, fine: int = FINE):
-        self.fine = fine
-        at = F.pmod(F.col(column), F.lit(fine)) + 1  # positions count from 1
-        rows = df.groupBy(F.bitmap_bucket_number(at).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m")).collect()
-        bits = np.zeros((fine // 32768 + 1, 4096), np.uint8)
-        for n, m in rows:
-            if n is not None:
-                bits[n - 1, : len(m)] |= np.frombuffer(bytes(m), np.uint8)
-        self.sent = df.sparkSession.sparkContext.broadcast(bits)
-
-    def __getstate__(self):
-        return {"fine": self.fine, "sent": self.sent}
-
-    def test(self, values: np.ndarray) -> np.ndarray:
-        """Whether each value's bucket is marked."""
-        p = np.asarray(values, np.int64) % self.fine
-        return (self.sent.value[p // 32768, p % 32768 // 8] >> (p % 8).astype(np.uint8) & 1).astype(bool)
-
-    def has(self, c: Column) -> Column:
-        me = self
-        return F.pandas_udf(lambda s: pd.Series(me.test(s.to_numpy())), "boolean")(c)
+    """The marked bits of a column of longs, 64 to a row of at most ``BITS / 64`` rows. Built by partial aggregation,
+    broadcast, and tested without leaving the JVM."""
+
+    def __init__(self, df: DataFrame, column: str):
+        at = F.pmod(F.col(column), F.lit(BITS))
+        x = df.filter(F.col(column).isNotNull()).select(at.alias("at"))
+        self.rows = x.groupBy(F.floor(F.col("at") / 64).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("_bits"))
+
+    def keep(self, df: DataFrame, column: str) -> DataFrame:
+        """The rows whose value is marked."""
+        x = df.withColumn("_word", F.floor(F.pmod(F.col(column), F.lit(BITS)) / 64))
+        x = x.join(F.broadcast(self.rows), "_word")
+        bit = F.getbit(F.col("_bits"), F.pmod(F.col(column), F.lit(64)))
+        return x.filter(bit == 1).drop("_word", "_bits")

@@ -8,16 +8,12 @@ many rows there are.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadweave.llm.edit import damerau
-from leadweave.session import cut
 
 SHARE = 50_000
 #: So many times more frequent is a word of which another is a slip. Of the other's entries the first ``FEW`` don't
@@ -91,22 +87,8 @@ def spelling(sent) -> Spelling:
     return _made[0][1]
 
 
-def count_words(texts: DataFrame, words_of, share: int = SHARE) -> dict[str, int]:
-    """The established words of a column ``text``, by ``words_of``: those in more than one of ``share`` entries, and in
-    two at least."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = Counter()
-        for pdf in batches:
-            for t in pdf["text"]:
-                n[""] += 1
-                n.update(set(words_of(t)))
-            if len(n) > 500_000:
-                yield pd.DataFrame({"w": list(n), "n": list(n.values())})
-                n = Counter()
-        if n:
-            yield pd.DataFrame({"w": list(n), "n": list(n.values())})
-
-    got = cut(texts.select("text").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "vocabulary")
-    total = (got.filter("w = ''").first() or [0, 0])[1]
-    return {r[0]: r[1] for r in got.filter((F.col("w") != "") & (F.col("n") >= max(2, total / share))).collect()}
+def established(words: DataFrame, entries: int, share: int = SHARE) -> dict[str, int]:
+    """The established words of a column ``w`` with one row a word of an entry: those in more than one of ``share`` of the
+    ``entries``, and in two at least."""
+    got = words.filter(F.length("w") > 0).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    return {r[0]: r[1] for r in got.filter(F.col("n") >= max(2, entries / share)).collect()}
