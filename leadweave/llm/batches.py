@@ -8,11 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-_ARROW = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.BooleanType(): pa.bool_(), T.IntegerType(): pa.int32()}
+_ARROW = {T.ArrayType(T.LongType()): pa.list_(pa.int64()), T.ByteType(): pa.int8(), T.StringType(): pa.string(), T.LongType(): pa.int64(), T.BooleanType(): pa.bool_(), T.IntegerType(): pa.int32()}
 
 
 def with_row_function(df: DataFrame, make: Callable[[], Callable], inputs: list[str], outputs: str, keep: list[str]) -> DataFrame:
-    """``keep`` and the columns ``outputs`` (a schema of strings, longs, ints and booleans), computed row by row.
+    """``keep`` and the columns ``outputs`` (a schema of strings, numbers, booleans and lists of longs), computed row by row.
 
     ``make`` runs once a task and gives the function; it takes the values of ``inputs``, texts, and returns a tuple.
     """

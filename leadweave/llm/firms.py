@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
+from itertools import product
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from leadweave.llm.batches import with_row_function
 from leadweave.llm.edit import damerau
 from leadweave.llm.fold import canon_word, strip_marks, unmojibake
 from leadweave.llm.known import Parser, name_label
+from leadweave.llm.spelling import Spelling, spelling
 from leadweave.llm.components import components
 
 #: Sources in the order of their names.
@@ -30,21 +32,31 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 #: A capital between two other letters.
 _INNER = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ][^\W\d_A-ZÀ-ÖØ-Þ]")
+_CAPITAL = re.compile(r"(?<=[a-z])[A-Z](?=[a-z])")
+_TOKEN, _RUN = re.compile(r"[a-z0-9]+"), re.compile(r"[a-z]+")
 
 
 def name_words(name: str | None) -> list[str]:
-    """Words of a name without accents; a capital inside a word begins another."""
+    """Words of a name without accents, numbers left out; a capital inside a word begins another."""
     t = name or ""
-    if not t.isascii():
-        t = unicodedata.normalize("NFC", unmojibake(t))
+    if t.isascii():
+        if not (t.islower() or t.isupper()):
+            t = _CAPITAL.sub(" \\g<0>", t)
+        return list(dict.fromkeys(w for w in _TOKEN.findall(t.lower()) if not w.isdigit()))
+    t = unicodedata.normalize("NFC", unmojibake(t))
     if _INNER.search(t):
         t = "".join(" " + c if c.isupper() and k and t[k - 1].islower() and t[k + 1 : k + 2].islower() else c for k, c in enumerate(t))
-    return list(dict.fromkeys(w for w in strip_marks(t).split() if w.isalpha()))
+    return list(dict.fromkeys(w for w in strip_marks(t).split() if not w.isdigit()))
 
 
-def _plain(label: str) -> str:
-    """The runs of letters of a label, joined by blanks."""
-    return " ".join(_LETTERS.findall(strip_marks(label)))
+def _label_words(label: str) -> str:
+    """The words of a site's label, joined by blanks."""
+    return " ".join(w for w in (_TOKEN.findall(label) if label.isascii() else strip_marks(label).split()) if not w.isdigit())
+
+
+def _mail_words(local: str) -> str:
+    """The runs of letters of the distinctive part of a mail address, joined by blanks."""
+    return " ".join(_RUN.findall(local) if local.isascii() else _LETTERS.findall(strip_marks(local)))
 
 
 class Words:
@@ -52,15 +64,20 @@ class Words:
 
     def __init__(self, providers: list[str]):
         self.parser = Parser(providers)
-        self.of = lru_cache(1 << 14)(self._of)
+        self.of = self._of
 
     def _of(self, name: str | None, email: str | None, site: str | None):
         """(name words, site words, mail words, address, site, hash of the name without writing)."""
-        address, _, text, host = self.parser.parse(email, site)
+        address, kind, text, host = self.parser.parse(email, site)
         label = name_label(host) if host else ""
-        letters = "" if (name or "").strip().lower() in PLACEHOLDERS else canon_word(name or "")
+        n = name or ""
+        if n.isascii():
+            letters = "" if n.strip().lower() in PLACEHOLDERS else "".join(_TOKEN.findall(n.lower()))
+        else:
+            letters = canon_word(n)
         canon = xxhash.xxh64_intdigest(letters) >> 1 if letters else 0
-        return " ".join(name_words(name)), _plain(label), _plain(text or ""), address, host, canon
+        mails = "" if not text else _mail_words(text) if kind == "p" else _label_words(text)
+        return " ".join(name_words(name)), _label_words(label) if label else "", mails, address, host, canon
 
 
 def words(rows: DataFrame, keep: list[str], providers: list[str]) -> DataFrame:
@@ -70,8 +87,8 @@ def words(rows: DataFrame, keep: list[str], providers: list[str]) -> DataFrame:
     return with_row_function(rows, lambda: Words(providers).of, ["name", "email", "site"], "names string, sites string, mails string, address string, host string, canon long", keep)
 
 
-def sides(x: DataFrame, least: int = 5, share: int = 20_000) -> tuple[frozenset[str], dict[str, int]]:
-    """(generic, strong) of :func:`words`: words that don't identify, and words that do with their rows, among the
+def sides(x: DataFrame, least: int = 5, share: int = 50_000) -> tuple[frozenset[str], dict[str, int], int]:
+    """(generic, strong, rows) of :func:`words`: words that don't identify, and words that do with their rows, among the
     frequent ones. Frequent is a word in more than one of ``share`` rows, so there are at most ``share`` times the
     words of a row. A generic word stands beside at least four sets of other words: copies of one row don't make one.
     """
@@ -93,7 +110,7 @@ def sides(x: DataFrame, least: int = 5, share: int = 20_000) -> tuple[frozenset[
             generic.add(w)
         else:
             strong[w] = strong.get(w, 0) + n
-    return frozenset(generic), {w: n for w, n in strong.items() if w not in generic}
+    return frozenset(generic), {w: n for w, n in strong.items() if w not in generic}, total
 
 
 def near_words(a: str, b: str, edits: int = 1) -> bool:
@@ -118,7 +135,7 @@ def near_sets(x: tuple[str, ...], y: tuple[str, ...], edits: int = 1) -> bool:
         return True
     if len(x) > len(y):
         x, y = y, x
-    if len(x) < len(y) <= 4:
+    if len(x) < len(y) <= 6:
         # two words of y may stand together in x
         for i, v in enumerate(y):
             for j, w in enumerate(y):
@@ -129,56 +146,96 @@ def near_sets(x: tuple[str, ...], y: tuple[str, ...], edits: int = 1) -> bool:
     return False
 
 
+def hash_of(text: str) -> int:
+    k = xxhash.xxh64_intdigest(text)
+    return k - (1 << 64) if k >= 1 << 63 else k
+
+
 class Reader:
-    """Readings of a row's words, given the generic and strong words."""
+    """Readings of a row's words, given the generic words and the spelling of the strong ones."""
 
-    def __init__(self, generic: frozenset[str], strong):
-        self.generic, self.strong = generic, strong
-        self.read = lru_cache(1 << 14)(self._read)
+    def __init__(self, generic: frozenset[str], known: Spelling):
+        self.generic, self.known, self.strong = generic, known, known.counts
+        self.read = lru_cache(1 << 12)(self._read)
+        self.fixed = lru_cache(1 << 12)(self._fixed)
 
     def core(self, ws: list[str], against: list[str]) -> tuple[str, ...]:
-        """Identifying words, sorted; beyond two, only those that are strong or near a word of another column."""
-        c = [w for w in dict.fromkeys(ws) if len(w) > 2 and w not in self.generic]
+        """Identifying words, sorted, joined ones apart; beyond two, only those that are strong or near a word of another
+        column. One short word alone must stand in another column as well."""
+        c = []
+        for w in dict.fromkeys(ws):
+            if len(w) > 2 and w not in self.generic:
+                c += self.known.apart(w) if len(w) >= 8 else (w,)
+        c = list(dict.fromkeys(c))
         if len(c) > 2:
             sure = [w for w in c if w in self.strong or any(near_words(w, v) for v in against)]
             c = sure if len(sure) >= 2 else c
-        if len(c) == 1 and len(c[0]) < 8:
+        if len(c) == 1 and len(c[0]) < 8 and c[0] not in against:
             return ()
         return tuple(sorted(c))
 
-    def clean(self, reading: str) -> bool:
-        """All its words are established, so it holds no slip."""
-        return " " in reading and all(w in self.strong for w in reading.split(" "))
-
-    def _read(self, names: str, sites: str, mails: str) -> tuple[str | None, list[str]]:
-        """(key, other readings that mean the same); words joined by blanks. What stands in one row may be two slips
-        a word apart."""
+    def _read(self, names: str, sites: str, mails: str) -> tuple[tuple[str, ...], list[tuple[str, ...]]]:
+        """(key, other readings that mean the same), as words. What stands in one row may be two slips a word apart."""
         names, sites, mails = names.split(), sites.split(), mails.split()
-        n, s, m = self.core(names, sites + mails), self.core(sites, names), self.core(mails, names)
+        n, s, m = self.core(names, sites + mails), self.core(sites, names + mails), self.core(mails, names + sites)
         found = [(r, p) for p, r in enumerate((s, n, m)) if r]
         if not found:
-            return None, []
-        best = min(found, key=lambda x: (len(x[0]) < 2, not all(w in self.strong for w in x[0]), -min(len(x[0]), 4), x[1]))[0]
-        others = {r for r, _ in found if r != best and near_sets(best, r, 2)}
-        return " ".join(best), sorted(" ".join(r) for r in others)
-
-
-def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong) -> DataFrame:
-    """``keep`` and ``key``, ``others`` (readings, a bar between them), ``clean`` and ``joined`` (both joined writings
-    of a key of two words, a bar between them) of :func:`words`."""
+            return (), []
+        if s == n or s == m or (not s and n == m):
+            best = found[0][0]
+        else:
+            best = min(found, key=lambda x: (len(x[0]) < 2, not all(map(self.known.sound, x[0])), -min(len(x[0]), 4), x[1]))[0]
+        return best, sorted({r for r, _ in found if r != best and near_sets(best, r, 2)})
+
+    def _fixed(self, reading: tuple[str, ...]) -> list[str]:
+        """What the reading can be a slip of: every word that isn't sound may stand for an established one."""
+        if all(map(self.known.sound, reading)):
+            return []
+        choices = [[(w,), *self.known.readings(w)] for w in reading]
+        return sorted({" ".join(sorted(dict.fromkeys(x for p in c for x in p))) for c in product(*choices)} - {" ".join(reading)})
+
+    def cuts(self, reading: tuple[str, ...]) -> list[str]:
+        """The reading with a long word that isn't established cut where an established one begins or ends."""
+        known, out = self.known, set()
+        for i, w in enumerate(reading):
+            if len(w) >= 8 and w not in self.strong:
+                for k in range(4, len(w) - 3):
+                    for a, b in ((w[:k], w[k:]), (w[: k - 1] + w[k], w[k - 1] + w[k + 1 :])):
+                        if (a in self.strong or b in self.strong) and (known.sound(a) or known.sound(b)):
+                            out.add(" ".join(sorted({*reading[:i], a, b, *reading[i + 1 :]})))
+        return sorted(out)
+
+    def lone(self, reading: tuple[str, ...]) -> bool:
+        """Whether it has a word that isn't established, so that the right word may be unknown."""
+        return any(w not in self.strong for w in reading)
+
+
+def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong: dict[str, int], terms=None) -> DataFrame:
+    """``keep`` and ``key`` (words joined by blanks) and ``k`` (its hash) of :func:`words`, with ``terms``, a function of
+    the reader, the key and the row's other readings that gives longs. Without it: ``others`` (the other readings) and
+    ``cuts`` (readings with joined words apart; a bar between them), ``clean`` (the key holds no slip) and ``named`` (the
+    name itself shows the key)."""
+    sent = x.sparkSession.sparkContext.broadcast(strong)
 
     def make():
-        reader = Reader(generic, strong)
+        reader = Reader(generic, spelling(sent))
 
         def one(names, sites, mails):
             key, others = reader.read(names, sites, mails)
-            w = key.split(" ") if key else ()
-            joined = "".join(w) + "|" + "".join(reversed(w)) if len(w) == 2 else None
-            return key, "|".join(others) or None, key is not None and reader.clean(key), joined
+            if not key:
+                return (None, None, None) if terms else (None,) * 6
+            text = " ".join(key)
+            if terms:
+                return text, hash_of(text), terms(reader, key, others)
+            clean = all(map(reader.known.sound, key))
+            cuts = [] if clean and not others else {c for r in (key, *others) for c in reader.cuts(r)}
+            said = names.split()
+            return text, hash_of(text), "|".join(map(" ".join, others)) or None, "|".join(sorted(cuts)) or None, clean, all(w in said for w in key) or near_sets(key, reader.core(said, key), 2)
 
         return one
 
-    return with_row_function(x, make, ["names", "sites", "mails"], "key string, others string, clean boolean, joined string", keep)
+    out = "key string, k long, " + ("terms array<long>" if terms else "others string, cuts string, clean boolean, named boolean")
+    return with_row_function(x, make, ["names", "sites", "mails"], out, keep)
 
 
 def source_rows(spark, d: str, tables: tuple[str, ...]) -> DataFrame:
@@ -211,10 +268,6 @@ def ordered_pairs(rows: DataFrame, by: str, differ: str) -> DataFrame:
     return j.select(name("a.src").alias("src_a"), F.col("a.id").alias("id_a"), name("b.src").alias("src_b"), F.col("b.id").alias("id_b"))
 
 
-def with_labels(rows: DataFrame, links: DataFrame, a: str, b: str, broadcast_rows: int = 200_000) -> DataFrame:
-    """``rows`` with ``label``: the least of the class of ``k`` under the links, ``k`` itself if it has none. Classes of
-    up to ``broadcast_rows`` keys are broadcast, more are joined by a shuffle."""
-    labels = components(links, a, b).withColumnRenamed("node", "k")
-    if labels.count() <= broadcast_rows:
-        labels = F.broadcast(labels)
-    return rows.join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
+def with_labels(rows: DataFrame, links: DataFrame, a: str, b: str) -> DataFrame:
+    """``rows`` with ``label``: the least of the class of ``k`` under the links, ``k`` itself if it has none."""
+    return rows.join(components(links, a, b).withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadweave.llm.address import bare_text, host_text, mail_text
+from leadweave.llm.address import AROUND, bare_text, host_text, mail_text
 from leadweave.llm.batches import with_row_function
 from leadweave.llm.edit import damerau
 from leadweave.llm.marks import Marks
@@ -264,7 +264,8 @@ class BandIndex:
 #: Labels below a country's ending under which firms register, such as ``co`` in ``co.uk``.
 SECOND_LEVEL = ("ac", "biz", "co", "com", "edu", "gen", "gob", "gov", "ind", "info", "ltd", "me", "name", "ne", "net", "nom", "or", "org", "plc", "sch", "web")
 _MAIL = re.compile(r"(?:mailto:)?([a-z0-9][a-z0-9._%-]*)(?:\+[a-z0-9._%+-]*)?@([a-z0-9][a-z0-9.-]*[a-z0-9])")
-_WEB = re.compile(r"(?:https?://)?(?:www\.)?([a-z0-9][a-z0-9.-]*[a-z0-9])(?:/[!-~]*)?")
+_WEB = re.compile(r"(?:https?://)?(?:www\.)?([a-z0-9][a-z0-9.-]*[a-z0-9])(?::[0-9]*)?(?:/[!-~]*)?")
+_EDGES = AROUND + " \t\r\n\xa0\u200b"
 
 
 def registered(host: str, second: frozenset[str] = frozenset(SECOND_LEVEL)) -> str:
@@ -318,7 +319,11 @@ class Parser:
     @staticmethod
     def split(value: str | None) -> tuple[str, str]:
         """(mail address, host) of a value, one of them ''."""
-        v = (value or "").lower()
+        if not value:
+            return "", ""
+        v = value.lower()
+        if v[0] in _EDGES or v[-1] in _EDGES:
+            v = v.strip(_EDGES)
         if v.isascii():
             if m := _WEB.fullmatch(v):
                 return ("", m[1]) if v != "none" else ("", "")

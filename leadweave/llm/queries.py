@@ -190,11 +190,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p5_classes(spark: SparkSession, d: str) -> DataFrame:
-    """The class of every row with a readable name."""
+    """The class of every row with a readable name, and whether the name itself shows it or another column does."""
     from leadweave.llm.firms import SOURCES
 
     names = F.array(*[F.lit(s) for s in SOURCES])
-    return _p5(spark, d).select(F.element_at(names, F.col("src").cast("int") + 1).alias("src"), F.col("id").alias("row_id"), "label")
+    return _p5(spark, d).select(F.element_at(names, F.col("src").cast("int") + 1).alias("src"), F.col("id").alias("row_id"), "label", "named")
 
 
 # ------------------------------------------------------------------ 4: entities across sources

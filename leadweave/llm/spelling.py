@@ -36,9 +36,9 @@ class Spelling:
             if len(w) > 1:
                 for s in shorter(w):
                     self.at.setdefault(s, []).append(w)
-        self.lengths = {len(w) for w in counts}
         self.options = lru_cache(1 << 18)(self._options)
         self.sound = lru_cache(1 << 18)(self._sound)
+        self.apart = lru_cache(1 << 18)(self._apart)
 
     def _near(self, word: str) -> list[str]:
         least = self.ratio * (self.counts.get(word, 0) - FEW)
@@ -56,24 +56,33 @@ class Spelling:
             return not self._near(word)
         return any(not self._near(a) and not self._near(b) for a, b in self.parts(word))
 
+    def _apart(self, word: str) -> tuple[str, ...]:
+        """The word, or the two established words that it is joined of."""
+        if word in self.counts:
+            return (word,)
+        return max(self.parts(word), key=lambda p: (min(self.counts[x] for x in p), p), default=(word,))
+
     def _options(self, word: str) -> tuple[str, ...]:
         """The established words, or two of them joined, of which the word can be a slip."""
+        return tuple(sorted({"".join(p) for p in self.readings(word)}))
+
+    def readings(self, word: str) -> list[tuple[str, ...]]:
+        """The same with the joined words apart."""
         if self.sound(word):
-            return ()
-        out = set(self._near(word))
+            return []
+        out = {(v,) for v in self._near(word)}
         if len(word) >= 8 and word not in self.counts:
             for i in range(4, len(word) - 3):
                 a, b = word[:i], word[i:]
                 if a in self.counts:
-                    out |= {a + v for v in self._near(b)}
+                    out |= {(a, v) for v in self._near(b)}
                 if b in self.counts:
-                    out |= {v + b for v in self._near(a)}
-            # a swap over the border
-            for i in range(4, len(word) - 3):
-                s = word[: i - 1] + word[i] + word[i - 1] + word[i + 1 :]
-                if s[:i] in self.counts and s[i:] in self.counts:
-                    out.add(s)
-        return tuple(sorted(out - {word}))
+                    out |= {(v, b) for v in self._near(a)}
+                # a swap over the border
+                a, b = a[:-1] + b[0], a[-1] + b[1:]
+                if a in self.counts and b in self.counts:
+                    out.add((a, b))
+        return sorted(out)
 
 
 _made: list[tuple[object, Spelling]] = []

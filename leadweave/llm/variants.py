@@ -2,12 +2,15 @@
 
 Distinct identifying words are joined with each other by a prefix-filtered set-similarity join on their letter triples:
 one edit destroys at most four triples, so two words an edit apart share one of the rarest five of each. The join runs
-on the vocabulary, which grows far slower than the rows. Names whose words pair up with each other's are candidates
-and are verified by a soft weighted token similarity, in which a pair of similar words counts with its similarity and
-rare words weigh more. Verified links, and those between the readings of one row's own columns, make classes.
+on the vocabulary, which grows far slower than the rows. Of two similar words the rarer one is a slip if the other is
+several times more frequent (a ratio, whatever the size), or both may be if few rows say anything about them. A name's signature are its
+identifying words, each as it stands or as the word it is a slip of: names that share less than one whole
+signature are under the least similarity. Candidates are verified by a soft weighted token similarity, in which a pair of
+similar words counts with its similarity and rare words weigh more. Verified links, and those between the readings of one
+row's own columns, make classes.
 
 Defined results: rows without a name aren't linked; names that differ in writing only aren't a pair; names without
-identifying words are linked through their row's site or mail address; repeated rows pair with every variant;
+identifying words are linked through their row's site or mail address (``named`` says which); repeated rows pair with every variant;
 empty tables give no pairs.
 """
 
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -23,11 +27,11 @@ from pyspark.sql import functions as F
 from leadweave.llm.edit import damerau
 from leadweave.llm import firms
 from leadweave.llm.marks import Marks
+from leadweave.llm.spelling import FEW, RATIO, spelling
 from leadweave.session import cut
 
 #: Triples that one edit destroys at most.
 LOST = 4
-ESTABLISHED = 4
 SIMILARITY = 0.75
 
 
@@ -41,10 +45,8 @@ def triples(word: F.Column) -> F.Column:
 
 
 def similar_words(words: DataFrame) -> DataFrame:
-    """(``w``, ``n``) -> (``w``, ``v``): words one edit apart, from the rarer to the more frequent.
-
-    Two words that are both established are words of their own. Only rare words probe, all words are indexed.
-    """
+    """(``w``, ``n``) -> (``w``, ``v``): words one edit apart, ``v`` a word of which ``w`` can be a slip: several times
+    more frequent, or of few rows both and then the more frequent or, in a tie, the first."""
     g = words.select("w", "n", F.posexplode(triples(F.col("w"))).alias("at", "g"))
     # the global order of triples: rarest first
     order = g.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
@@ -52,9 +54,9 @@ def similar_words(words: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("w").orderBy("f", "g", "at"))
     prefix = cut(g.withColumn("r", rank).filter(F.col("r") <= LOST + 1).select("w", "n", "g", "at"), "prefix")
     # an edit moves a triple by one place at most
-    a = prefix.filter(F.col("n") < ESTABLISHED).select("g", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)).alias("at"), "w", F.col("n").alias("nw"))
+    a = prefix.select("g", F.explode(F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1)).alias("at"), "w", F.col("n").alias("nw"))
     b = prefix.select("g", "at", F.col("w").alias("v"), F.col("n").alias("nv"))
-    up = (F.col("nv") > F.col("nw")) | ((F.col("nv") == F.col("nw")) & (F.col("v") < F.col("w")))
+    up = (F.col("nv") >= RATIO * (F.col("nw") - FEW)) & ((F.col("nv") > F.col("nw")) | ((F.col("nv") == F.col("nw")) & (F.col("v") < F.col("w"))))
     end = (F.substring("w", 1, 1) == F.substring("v", 1, 1)) | (F.substring("w", -1, 1) == F.substring("v", -1, 1))
     near = (F.abs(F.length("w") - F.length("v")) <= 1) & end & (F.levenshtein("w", "v", 2) >= 0)
     pairs = a.join(b, ["g", "at"]).filter(up & near).select("w", "v").distinct()
@@ -80,43 +82,60 @@ def soft_similarity(x: list[str], y: list[str], weight: dict[str, float]) -> flo
     return got / whole if whole else 0.0
 
 
-def h(c) -> F.Column:
-    return F.xxhash64(c)
-
+def spelled_links(rows: DataFrame, strong: dict[str, int]) -> DataFrame:
+    """Links (``a``, ``b``), as hashes, between keys whose words are variants, of :func:`firms.read`'s rows.
 
-def spelled_links(rows: DataFrame, own: DataFrame, strong: dict[str, int]) -> DataFrame:
-    """Links (``a``, ``b``), as hashes, between keys whose words are variants, of rows (``key``, ``k``, ``clean``,
-    ``joined``) and of the other readings (``other``, ``o``) that stand in a row with one.
-
-    Keys of established words only hold no slip and take part as targets. What can't be a target of a rare or joined
-    writing is left out by a bitmap, before anything is shuffled.
+    Keys of sound words only hold no slip and take part as targets. What can't be a target of another reading is left out
+    by a bitmap, before anything is shuffled.
     """
     spark = rows.sparkSession
-    known = frozenset(strong)
-    clean = F.pandas_udf(lambda s: pd.Series([" " in t and all(w in known for w in t.split(" ")) for t in s], dtype="bool"), "boolean")
-    dirty = rows.filter(~F.col("clean")).select("key", "k").unionByName(own.select(F.col("other").alias("key"), F.col("o").alias("k")).filter(~clean("key")))
+    h = F.pandas_udf(lambda s: pd.Series([firms.hash_of(t) for t in s], dtype="int64"), "long")
+    own = rows.filter("others is not null").select("k", F.explode(F.split("others", "[|]")).alias("other")).distinct()
+    own = cut(own.withColumn("o", h("other")), "own")
+    cuts = rows.filter("cuts is not null").select("k", F.explode(F.split("cuts", "[|]")).alias("key"))
+    known = spark.sparkContext.broadcast(strong)
+    unsound = F.pandas_udf(lambda s: pd.Series([not all(map(spelling(known).sound, t.split(" "))) for t in s], dtype="bool"), "boolean")
+    dirty = rows.filter(~F.col("clean")).select("k", "key").unionByName(own.select(F.col("o").alias("k"), F.col("other").alias("key")).filter(unsound("key"))).unionByName(cuts)
     dirty = cut(dirty.distinct().withColumn("ws", F.split("key", " ")), "dirty")
-    by_word = dirty.select("key", "k", "ws", F.explode("ws").alias("w"))
+    by_word = dirty.select("k", "key", F.explode("ws").alias("w"))
     total = max(2, sum(strong.values()))
     # every word: the established ones with their rows, the others from the keys that have them
     sure = spark.createDataFrame(list(strong.items()), "w string, n long")
-    vocabulary = by_word.groupBy("w").agg(F.count(F.lit(1)).alias("n")).unionByName(sure).groupBy("w").agg(F.sum("n").alias("n"))
-    vocabulary = cut(vocabulary, "words")
-    similar = cut(similar_words(vocabulary), "similar")
-    # each rare word may stand for each of its similar words; words may be written together
-    swapped = by_word.join(similar, "w").select("key", "k", F.array_join(F.array_sort(F.transform("ws", lambda x: F.when(x == F.col("w"), F.col("v")).otherwise(x))), " ").alias("other"))
-    swapped = cut(swapped.withColumn("o", h("other")), "swapped")
+    vocabulary = by_word.groupBy("w").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(sure.select("w")), "w", "left_anti").unionByName(sure)
+    similar = cut(similar_words(cut(vocabulary, "words")), "similar")
+    # each word may stand for each of its similar words
+    options = by_word.join(similar, "w").groupBy("k", "key").agg(F.collect_set(F.concat_ws(" ", "w", "v")).alias("swaps"))
+
+    def swap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in filter(len, batches):
+            out = []
+            for k, key, swaps in zip(pdf["k"], pdf["key"], pdf["swaps"], strict=True):
+                to: dict[str, list[str]] = {}
+                for pair in swaps:
+                    w, v = pair.split(" ")
+                    to.setdefault(w, [w]).append(v)
+                for words in product(*[to.get(w, [w]) for w in key.split(" ")]):
+                    other = " ".join(sorted(set(words)))
+                    if other != key:
+                        out.append((key, k, other, firms.hash_of(other)))
+            yield pd.DataFrame(out, columns=["key", "k", "other", "o"])
+
+    swapped = options.mapInPandas(swap, "key string, k long, other string, o long")
+    # a cut reading of sound words is a candidate as it stands
+    swapped = cut(swapped.unionByName(cuts.distinct().select("key", "k", F.col("key").alias("other"), h("key").alias("o"))), "swapped")
     every = rows.select("k").unionByName(own.select(F.col("o").alias("k")))
-    targets = every.filter(Marks(swapped, "o").has(F.col("k"))).select(F.col("k").alias("o")).distinct()
-    single = dirty.filter(F.size("ws") == 1).select(F.col("k").alias("o"))
-    pairs = rows.filter("joined is not null").select("k", F.explode(F.transform(F.split("joined", "[|]"), h)).alias("o"))
-    joined = pairs.filter(Marks(single, "o").has(F.col("o"))).distinct().join(single, "o").select(F.col("k").alias("a"), F.col("o").alias("b"))
+    targets = Marks(swapped, "o").keep(every, "k").select(F.col("k").alias("o")).distinct()
     direct = swapped.join(targets, "o")
     # two rare spellings whose common form stands nowhere
-    w = Window.partitionBy("other")
-    meet = swapped.join(targets, "o", "left_anti").withColumn("first", F.min(F.struct("key", "k")).over(w)).filter("key <> first.key")
+    lost = swapped.join(targets, "o", "left_anti")
+    first = lost.groupBy("other").agg(F.min(F.struct("key", "k")).alias("first"))
+    meet = lost.join(first, "other").filter("k <> first.k")
     links = direct.select(F.col("key").alias("x"), F.col("other").alias("y"), F.col("k").alias("a"), F.col("o").alias("b"))
     links = links.unionByName(meet.select(F.col("first.key").alias("x"), F.col("key").alias("y"), F.col("first.k").alias("a"), F.col("k").alias("b"))).distinct()
+    # words that aren't established and stand together in one of two keys
+    single = dirty.filter(F.size("ws") == 1).select(F.col("key").alias("j"), F.col("k").alias("b"))
+    double = dirty.filter(F.size("ws") == 2).select(F.explode(F.array(F.concat(F.col("ws")[0], F.col("ws")[1]), F.concat(F.col("ws")[1], F.col("ws")[0]))).alias("j"), F.col("k").alias("a"))
+    joined = double.join(single, "j").select("a", "b").distinct()
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         class Weight(dict):
@@ -127,20 +146,16 @@ def spelled_links(rows: DataFrame, own: DataFrame, strong: dict[str, int]) -> Da
         for pdf in filter(len, batches):
             yield pdf.loc[[soft_similarity(x.split(), y.split(), weight) >= SIMILARITY for x, y in zip(pdf["x"], pdf["y"], strict=True)], ["a", "b"]]
 
-    return links.mapInPandas(verify, "a long, b long").unionByName(joined)
+    return links.mapInPandas(verify, "a long, b long").unionByName(joined).unionByName(own.select(F.col("k").alias("a"), F.col("o").alias("b")))
 
 
 def name_classes(rows: DataFrame, providers: list[str]) -> DataFrame:
-    """(``src``, ``id``, ``canon``, ``label``) of rows with ``name``, ``email``, ``site``: the class of each row."""
+    """(``src``, ``id``, ``canon``, ``named``, ``label``) of rows with ``name``, ``email``, ``site``: the class of each row,
+    and whether its name shows it."""
     said = cut(firms.words(rows, ["src", "id"], providers).select("src", "id", "names", "sites", "mails", "canon"), "words")
-    generic, strong = firms.sides(said)
-
-    x = firms.read(said, ["src", "id", "canon"], generic, strong).filter("key is not null")
-    x = cut(x.withColumn("k", h("key")), "readings", free=(said,))
-    own = x.filter("others is not null").select("k", F.explode(F.split("others", "[|]")).alias("other")).distinct()
-    own = own.withColumn("o", h("other"))
-    links = spelled_links(x, own, strong).unionByName(own.select(F.col("k").alias("a"), F.col("o").alias("b")))
-    return firms.with_labels(x.select("src", "id", "canon", "k"), links, "a", "b").select("src", "id", "canon", "label")
+    generic, strong, _ = firms.sides(said)
+    x = cut(firms.read(said, ["src", "id", "canon"], generic, strong).filter("key is not null"), "readings", free=(said,))
+    return firms.with_labels(x.select("src", "id", "canon", "named", "k"), spelled_links(x, strong), "a", "b").select("src", "id", "canon", "named", "label")
 
 
 def variant_pairs(classes: DataFrame) -> DataFrame:

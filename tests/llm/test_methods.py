@@ -12,8 +12,8 @@ from leadweave.llm.edit import damerau
 from leadweave.llm.fold import canon_word
 from leadweave.llm import canonical_map as cm
 from leadweave.llm import firms, known, ledger, leakage, mixture, safety, text, variants
-from leadweave.llm.matching import ESSENTIAL, calibrate, candidates, loose_terms
-from leadweave.llm.spelling import Spelling
+from leadweave.llm.matching import FULL, ROOTS, calibrate, candidates, loose_terms, reading_terms
+from leadweave.llm.spelling import FEW, RATIO, Spelling
 
 CITIES = [(1, "DE", ["Skiskerhafen"]), (2, "NL", ["Bad Noldalk", "Glurnixford"]), (3, "CH", ["Mindrot am See"]), (4, "BG", ["Skoruxford"]), (5, "NL", ["Skoruxford"]), (6, "NL", ["Sint Turguldijk"]), (7, "TR", ["Bindröltepe"])]
 CODES = {"de": "DE", "germany": "DE", "nl": "NL", "bg": "BG", "ch": "CH", "tr": "TR", "netherlands": "NL"}
@@ -284,10 +284,10 @@ def test_batches_one_by_one_equal_all_at_once(spark, small):
 
 def test_similar_words_are_all_found(spark):
     rng = random.Random(10)
-    vocab = {"".join(rng.choice("abcdeg") for _ in range(rng.randrange(4, 9))): rng.choice([1, 2, 9]) for _ in range(400)}
+    vocab = {"".join(rng.choice("abcdeg") for _ in range(rng.randrange(4, 9))): rng.choice([1, 2, 9, 40, 900]) for _ in range(400)}
     df = spark.createDataFrame(list(vocab.items()), "w string, n long")
     got = {(r.w, r.v) for r in variants.similar_words(df).collect()}
-    want = {(w, v) for w in vocab for v in vocab if w != v and vocab[w] < variants.ESTABLISHED and (vocab[v] > vocab[w] or (vocab[v] == vocab[w] and v < w)) and damerau(w, v) <= 1}
+    want = {(w, v) for w in vocab for v in vocab if w != v and vocab[v] >= RATIO * (vocab[w] - FEW) and (vocab[v] > vocab[w] or (vocab[v] == vocab[w] and v < w)) and damerau(w, v) <= 1}
     assert got == want and want
 
 
@@ -302,18 +302,57 @@ def test_name_readings():
     assert variants.soft_similarity([], [], w) == 0
 
 
-def test_all_records_of_a_full_term_meet(spark):
-    lists = {1: range(3 * ESSENTIAL + 5), 2: range(ESSENTIAL), 3: range(ESSENTIAL, 2 * ESSENTIAL + 1), 4: [7]}
-    post = [(t, r) for t, x in lists.items() for r in x] + [(1, 0), (2, 0)]
-    want = defaultdict(float)
-    for x in lists.values():
-        for a in x:
-            for b in x:
-                if a < b:
-                    want[a, b] += math.log(1 + (1000 - len(x) + 0.5) / (len(x) + 0.5))
-    got = {(r.a, r.b): r.essential for r in candidates(spark.createDataFrame(post, "term long, rec long"), 1000).collect()}
-    assert got.keys() == want.keys()
-    assert all(abs(got[k] - x) < 1e-4 for k, x in want.items())
+def test_readings():
+    r = firms.Reader(frozenset({"tax", "gmbh"}), Spelling({"krakervin": 50, "tastoltorm": 60, "lorvel": 40}))
+    assert r.read("krakervin tastoltorm tax gmbh", "krakervintastoltorm", "") == (("krakervin", "tastoltorm"), [])
+    assert r.fixed(("krakervim", "tastoltorm")) == ["krakervin tastoltorm"] and r.fixed(("krakervin", "tastoltorm")) == []
+    assert r.fixed(("krakervintastotlorm",)) == ["krakervin tastoltorm"] and r.cuts(("krakervintastotlorm",)) == ["krakervin tastotlorm"]
+    # a short word alone counts if two columns say it, and words with digits are words
+    assert r.read("siemens gmbh", "siemens", "")[0] == ("siemens",) and r.read("siemens gmbh", "", "")[0] == ()
+    assert r.read("4you gmbh", "4you", "")[0] == ("4you",) and firms.name_words("3M Deutschland 24") == ["3m", "deutschland"]
+    assert firms.Words([]).of("4you GmbH", "office2@4you.co.uk", "www.shop.4you.co.uk")[:5] == ("4you gmbh", "4you", "4you", "office2@4you.co.uk", "4you.co.uk")
+
+
+def test_a_slip_leaves_a_common_term():
+    rng = random.Random(8)
+    letters = "abcdefghiklmnoprstuvz"
+    none, some = firms.Reader(frozenset(), Spelling({})), None
+    for _ in range(300):
+        a, b = ("".join(rng.choice(letters) for _ in range(rng.randrange(6, 11))) for _ in "ab")
+        typo = one_slip(rng, a)
+        if damerau(a, typo) > 1:
+            continue
+        x, y = tuple(sorted((a, b))), tuple(sorted((typo, b)))
+        assert set(loose_terms(x)) & set(loose_terms(y)) and set(loose_terms((a + b,))) & set(loose_terms(x))
+        assert set(reading_terms(none, x, [])) & set(reading_terms(none, y, []))
+        some = firms.Reader(frozenset(), Spelling({a: 90, b: 80}))
+        assert set(reading_terms(some, x, [])) & set(reading_terms(some, y, []))
+
+
+def test_every_list_gives_candidates(spark):
+    n = 3 * FULL + 5
+    lists = {1: range(n), 2: range(FULL), 3: range(FULL, 2 * FULL + 1), 4: [7], 5: range(0, n, 50)}
+    post = [(r, r % 4, t) for t, x in lists.items() for r in x] + [(0, 0, 1), (0, 0, 2)]
+    other = [(r, 1000 + r % 40) for r in range(n)] + [(3, 77), (90, 77)]
+    p, o = spark.createDataFrame(post, "rec long, src byte, term long"), spark.createDataFrame(other, "rec long, term long")
+    rows = candidates(p, o).collect()
+    got = {(r.a, r.b) for r in rows}
+    assert len(got) == len(rows) and all(a < b for a, b in got)
+    # lists up to FULL are read whole, longer ones by their other terms
+    want = {(a, b) for t in (2, 5) for a in lists[t] for b in lists[t] if a < b}
+    want |= {(a, b) for a in range(n) for b in range(a + 1, n) if a % 40 == b % 40} | {(3, 90)}
+    assert want <= got
+    # every record of a long list meets its two least ones of every table, which win a tie
+    assert all({(least, r) for least in range(8) if least < r} <= got for r in range(n))
+    assert len(got) < n * (FULL + 8 + n // 40 + 1)
+    assert candidates(p.limit(0), o).count() == 0
+
+
+def test_closed_matches_of_one_reading():
+    from leadweave.llm.matching import PAIRS
+
+    bit = {p: 1 << k for k, p in enumerate(PAIRS)}
+    assert ROOTS[0] == [0, 1, 2, 3] and ROOTS[bit[0, 1] | bit[2, 3]] == [0, 0, 2, 2] and ROOTS[bit[1, 2] | bit[2, 3]] == [0, 1, 1, 1] and ROOTS[bit[0, 3] | bit[1, 2] | bit[2, 3]] == [0, 0, 0, 0]
 
 
 def test_calibration_separates():
