@@ -62,15 +62,15 @@ def _mail_words(local: str) -> str:
 class Words:
     """Cuts the columns of a row into words; ``providers`` are the hosts that many firms share."""
 
-    def __init__(self, providers: list[str]):
-        self.parser = Parser(providers)
+    def __init__(self, providers: list[str], canon: bool = True):
+        self.parser, self.canon = Parser(providers), canon
         self.of = self._of
 
     def _of(self, name: str | None, email: str | None, site: str | None):
         """(name words, site words, mail words, address, site, hash of the name without writing)."""
         address, kind, text, host = self.parser.parse(email, site)
         label = name_label(host) if host else ""
-        n = name or ""
+        n = (name or "") if self.canon else ""
         if n.isascii():
             letters = "" if n.strip().lower() in PLACEHOLDERS else "".join(_TOKEN.findall(n.lower()))
         else:
@@ -81,10 +81,19 @@ class Words:
 
 
 def words(rows: DataFrame, keep: list[str], providers: list[str]) -> DataFrame:
-    """``keep`` and ``names``, ``sites``, ``mails`` (words joined by blanks), ``address``, ``host`` and ``canon``, a
-    hash of the name without its writing (0 if there is none), of rows with ``name``, ``email``, ``site``."""
+    """``keep`` and ``names``, ``sites``, ``mails`` (words joined by blanks) and ``canon``, a hash of the name without its
+    writing (0 if there is none), of rows with ``name``, ``email``, ``site``."""
 
-    return with_row_function(rows, lambda: Words(providers).of, ["name", "email", "site"], "names string, sites string, mails string, address string, host string, canon long", keep)
+    def make():
+        of = Words(providers).of
+
+        def one(name, email, site):
+            names, sites, mails, _, _, canon = of(name, email, site)
+            return names, sites, mails, canon
+
+        return one
+
+    return with_row_function(rows, make, ["name", "email", "site"], "names string, sites string, mails string, canon long", keep)
 
 
 def sides(x: DataFrame, least: int = 5, share: int = 50_000) -> tuple[frozenset[str], dict[str, int], int]:
@@ -156,7 +165,9 @@ class Reader:
 
     def __init__(self, generic: frozenset[str], known: Spelling):
         self.generic, self.known, self.strong = generic, known, known.counts
-        self.read = lru_cache(1 << 12)(self._read)
+        self.read = self._read
+        self.plain = lru_cache(1 << 18)(lambda w: len(w) < 3 or w in generic)
+        self.pair = lru_cache(1 << 18)(self._pair)
         self.fixed = lru_cache(1 << 12)(self._fixed)
 
     def core(self, ws: list[str], against: list[str]) -> tuple[str, ...]:
@@ -174,8 +185,23 @@ class Reader:
             return ()
         return tuple(sorted(c))
 
+    def _pair(self, text: str) -> tuple[str, ...] | None:
+        """Two sound identifying words, sorted, if that is what the words of a column are."""
+        w = text.split(" ")
+        if len(w) == 2 and w[0] != w[1] and not any(map(self.plain, w)) and all(x in self.strong and self.known.sound(x) for x in w):
+            return tuple(sorted(w))
+        return None
+
     def _read(self, names: str, sites: str, mails: str) -> tuple[tuple[str, ...], list[tuple[str, ...]]]:
         """(key, other readings that mean the same), as words. What stands in one row may be two slips a word apart."""
+        # most rows say the same two words everywhere
+        pair = self.pair(sites or mails)
+        if pair:
+            a, b = pair
+            said = names.split(" ")
+            if ((a in said and b in said) or not names) and (not sites or not mails or mails == sites or all(w == a or w == b or self.plain(w) for w in mails.split(" "))):
+                if all(w == a or w == b or self.plain(w) for w in said):
+                    return pair, []
         names, sites, mails = names.split(), sites.split(), mails.split()
         n, s, m = self.core(names, sites + mails), self.core(sites, names + mails), self.core(mails, names + sites)
         found = [(r, p) for p, r in enumerate((s, n, m)) if r]
@@ -210,23 +236,31 @@ class Reader:
         return any(w not in self.strong for w in reading)
 
 
-def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong: dict[str, int], terms=None) -> DataFrame:
+def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong: dict[str, int], terms=None, more: tuple[str, ...] = ()) -> DataFrame:
     """``keep`` and ``key`` (words joined by blanks) and ``k`` (its hash) of :func:`words`, with ``terms``, a function of
-    the reader, the key and the row's other readings that gives longs. Without it: ``others`` (the other readings) and
+    the reader, the key, the row's other readings and the columns ``more`` that gives longs; NULL where the task has seen
+    all of this before. Without it: ``others`` (the other readings) and
     ``cuts`` (readings with joined words apart; a bar between them), ``clean`` (the key holds no slip) and ``named`` (the
     name itself shows the key)."""
     sent = x.sparkSession.sparkContext.broadcast(strong)
 
     def make():
-        reader = Reader(generic, spelling(sent))
+        reader, seen = Reader(generic, spelling(sent)), set()
 
-        def one(names, sites, mails):
+        def one(names, sites, mails, *more):
             key, others = reader.read(names, sites, mails)
             if not key:
                 return (None, None, None) if terms else (None,) * 6
             text = " ".join(key)
             if terms:
-                return text, hash_of(text), terms(reader, key, others)
+                # a repeated row needs no terms again
+                what = hash((names, sites, mails, *more))
+                if what in seen:
+                    return text, hash_of(text), None
+                if len(seen) > 1 << 18:
+                    seen.clear()
+                seen.add(what)
+                return text, hash_of(text), terms(reader, key, others, *more)
             clean = all(map(reader.known.sound, key))
             cuts = [] if clean and not others else {c for r in (key, *others) for c in reader.cuts(r)}
             said = names.split()
@@ -235,7 +269,7 @@ def read(x: DataFrame, keep: list[str], generic: frozenset[str], strong: dict[st
         return one
 
     out = "key string, k long, " + ("terms array<long>" if terms else "others string, cuts string, clean boolean, named boolean")
-    return with_row_function(x, make, ["names", "sites", "mails"], out, keep)
+    return with_row_function(x, make, ["names", "sites", "mails", *more], out, keep)
 
 
 def source_rows(spark, d: str, tables: tuple[str, ...]) -> DataFrame:

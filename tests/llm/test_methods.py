@@ -345,6 +345,11 @@ def test_every_list_gives_candidates(spark):
     # every record of a long list meets its two least ones of every table, which win a tie
     assert all({(least, r) for least in range(8) if least < r} <= got for r in range(n))
     assert len(got) < n * (FULL + 8 + n // 40 + 1)
+    shares = defaultdict(set)
+    for t, x in lists.items():
+        for r in x:
+            shares[r].add(t)
+    assert all(r.same == any(t % 2 for t in shares[r.a] & shares[r.b] if t != 1) or shares[r.a] & shares[r.b] & {1, 3} for r in rows)
     assert candidates(p.limit(0), o).count() == 0
 
 
