@@ -198,9 +198,12 @@ class Reader:
         pair = self.pair(sites or mails)
         if pair:
             a, b = pair
-            said = names.split(" ")
-            if ((a in said and b in said) or not names) and (not sites or not mails or mails == sites or all(w == a or w == b or self.plain(w) for w in mails.split(" "))):
-                if all(w == a or w == b or self.plain(w) for w in said):
+            said, plain = names.split(" "), self.plain
+            if not names or (a in said and b in said):
+                for w in said if not sites or not mails or mails == sites else [*said, *mails.split(" ")]:
+                    if w != a and w != b and not plain(w):
+                        break
+                else:
                     return pair, []
         names, sites, mails = names.split(), sites.split(), mails.split()
         n, s, m = self.core(names, sites + mails), self.core(sites, names + mails), self.core(mails, names + sites)
@@ -213,10 +216,11 @@ class Reader:
             best = min(found, key=lambda x: (len(x[0]) < 2, not all(map(self.known.sound, x[0])), -min(len(x[0]), 4), x[1]))[0]
         return best, sorted({r for r, _ in found if r != best and near_sets(best, r, 2)})
 
-    def _fixed(self, reading: tuple[str, ...]) -> list[str]:
-        """What the reading can be a slip of: every word that isn't sound may stand for an established one."""
+    def _fixed(self, reading: tuple[str, ...]) -> list[str] | None:
+        """What the reading can be a slip of: every word that isn't sound may stand for an established one. None if all
+        its words are sound."""
         if all(map(self.known.sound, reading)):
-            return []
+            return None
         choices = [[(w,), *self.known.readings(w)] for w in reading]
         return sorted({" ".join(sorted(dict.fromkeys(x for p in c for x in p))) for c in product(*choices)} - {" ".join(reading)})
 
