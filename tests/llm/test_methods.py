@@ -136,34 +136,35 @@ def test_tokens_of_whole_texts(spark):
     assert got[:3] == [0, 0, 2] and got[4] == 150_001
 
 
-def brute_nearest(index, examples, query, k):
-    def vec(w):
-        tf = Counter(w)
-        return {t: (1 + math.log(n)) * (index.idf(t) if t in index.frequency else index.unknown) for t, n in tf.items()}
-
-    def norm(v):
-        return math.sqrt(sum(x * x for x in v.values()))
-
-    q = vec(query)
-    scores = []
-    for i, (w, _) in enumerate(examples):
-        v = {t: (1 + math.log(n)) * index.idf(t) for t, n in Counter(w).items()}
-        s = sum(q[t] * v[t] for t in q if t in v) / ((norm(q) or 1) * (norm(v) or 1))
-        if s > 0:
-            scores.append((s, i))
-    return sorted(scores, key=lambda x: (-x[0], x[1]))[:k]
-
-
 def test_block_max_search_is_exact():
     rng = random.Random(6)
     vocab = [f"t{int(rng.paretovariate(0.7))}" for _ in range(400)]
-    examples = [(tuple(rng.choice(vocab) for _ in range(rng.randrange(1, 9))), [0, 0, 0, 1]) for _ in range(700)]
-    df = Counter(t for w, _ in examples for t in set(w))
-    index = safety.Index(examples, df, 700, 5)
-    for _ in range(150):
-        query = tuple(rng.choice([*vocab, "unseen"]) for _ in range(rng.randrange(1, 10)))
-        got, want = index.nearest(query), brute_nearest(index, examples, query, 5)
-        assert np.allclose([s for s, _ in got], [s for s, _ in want])
+    examples = [tuple(rng.choice(vocab) for _ in range(rng.randrange(1, 9))) for _ in range(1500)]
+    df = Counter(t for w in examples for t in set(w))
+    index = safety.Index(examples, lambda t: math.log(1 + 1500 / (1 + df.get(t, 0))))
+    forward = [index.weights(w) for w in examples]
+    for n in range(200):
+        query = index.weights(tuple(rng.choice([*vocab, "unseen"]) for _ in range(rng.randrange(1, 10))))
+        radius, k = rng.choice([0.0, 0.3, 0.6]), rng.choice([1, 5, 12])
+        scores = sorted(((-sum(x * v.get(t, 0.0) for t, x in query.items()), i) for i, v in enumerate(forward)))
+        want = [-x for x, _ in scores[:k] if -x >= radius and x < 0]
+        got = [x for x, _ in index.nearest(query, k, radius) if x > 0]
+        assert np.allclose(got, want), n
+
+
+def test_labels_are_believed_as_far_as_others_bear_them_out():
+    own = np.array([1.0, 0.0, 0.0, 0.0])
+    # the second passage explains the label; the others vote for none
+    got = safety.explained(own, [(0.1, 0, 0), (0.9, 0, 0), (0.3, 0, 0)], (0.4, 0.4, 0.4))
+    assert [v.tolist() for v in got] == [[0, 0, 0, 1], [1, 0, 0, 0], [0, 0, 0, 1]]
+    # nothing explains it: all passages carry as much as such labels deserve
+    assert [v.tolist() for v in safety.explained(own, [(0.1, 0, 0), (0, 0, 0)], (0.4, 0.4, 0.4))] == [[0.4, 0, 0, 0]] * 2
+    rng = np.random.default_rng(3)
+    share = rng.uniform(0.01, 0.99, 3000)
+    a, b = safety.fit_curve(share, (rng.uniform(size=3000) < 1 / (1 + np.exp(-(1 + 2 * np.log(share / (1 - share)))))).astype(float))
+    assert abs(a - 1) < 0.3 and abs(b - 2) < 0.4
+    assert safety.fit_curve(np.array([]), np.array([])) == (0.0, 1.0)
+    assert safety.fit_curve(np.full(500, 0.9), np.ones(500))[1] > 0
 
 
 def test_passages_undo_disguises():
