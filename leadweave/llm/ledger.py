@@ -4,7 +4,9 @@ A record's key is a 128-bit digest of its fields without their writing. The ledg
 many copies of every key have come and the earliest representative. A new batch is aggregated first (partial sums
 before the shuffle, so a key with a third of all rows costs one row a task), then full-outer-joined with the matching
 buckets only; counts add up and the least id stays. Buckets that no key of the batch falls into are neither read nor
-written; every step writes new files and then moves the pointer, so an interrupted step changes nothing.
+written. Every step writes new files and then its numbered state file, of which the greatest counts: an interrupted step
+changes nothing, and a new process opens the folder and goes on. The files of the version before stay until the next
+step, for those who still read them.
 
 Defined results: NULL and blank fields are equal to each other; placeholders are missing in addresses only; fields of
 any length count whole, since only their digest travels; repeated rows are copies; an empty batch changes nothing.
@@ -12,12 +14,14 @@ any length count whole, since only their digest travels; repeated rows are copie
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadweave.llm.address import canon_address
 from leadweave.llm.fold import canon
-from leadweave.session import cut, delete_path, table, work_path
+from leadweave.session import Pointer, cut, delete_path, list_names, table, work_path
 
 
 def digest(*parts: Column) -> Column:
@@ -38,49 +42,50 @@ def list_key(src: str = "incoming_list") -> Column:
     return digest(F.lit(src), canon(F.col("country")), canon(F.col("company")), canon_address(F.col("email")), canon_address(F.col("website")))
 
 
+#: Keys that a bucket has room for when the ledger is made.
+BUCKET_KEYS = 250_000
+
+
 class Ledger:
-    """Counts by key: ``key binary, bucket int, n long, first_id long``; ``parts`` points from bucket to folder."""
+    """Counts by key: ``key binary, n long, first_id long``, in ``buckets`` of a hash of the key."""
 
     SCHEMA = "key binary, n long, first_id long"
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32):
-        self.spark, self.path, self.buckets, self.version = spark, path or work_path(spark, "ledger"), buckets, 0
-        self.parts: dict[int, str] = {}
+        self.spark, self.path = spark, (path or work_path(spark, "ledger")).rstrip("/")
+        self.pointer = Pointer(spark, self.path)
+        self.buckets = self.pointer.read()[1].get("buckets", buckets)
 
     def read(self, buckets=None) -> DataFrame:
-        at = [p for b, p in sorted(self.parts.items()) if buckets is None or b in buckets]
+        parts = self.pointer.read()[1].get("parts", {})
+        at = [f"{self.path}/{p}" for b, p in sorted(parts.items()) if buckets is None or int(b) in buckets]
         return self.spark.read.schema(self.SCHEMA).parquet(*at) if at else self.spark.createDataFrame([], self.SCHEMA)
 
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")
+
     def add(self, batch: DataFrame) -> None:
         """Take in a batch of (``key``, ``id``)."""
+        version, state = self.pointer.read()
+        parts = dict(state.get("parts", {}))
         new = batch.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
-        # the shuffle by key of the aggregate serves the join and the buckets as well
-        new = new.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int"))
-        new = cut(new, "batch") if self.parts else new
-        touched = {r[0] for r in new.select("bucket").distinct().collect()} if self.parts else set()
-        old = self.read(touched).select("key", F.col("n").alias("n0"), F.col("first_id").alias("f0")) if self.parts else None
-        if old is not None:
-            new = new.join(old, "key", "full_outer").select(
-                "key",
-                F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int").alias("bucket"),
-                (F.coalesce("n", F.lit(0)) + F.coalesce("n0", F.lit(0))).alias("n"),
-                F.least("first_id", "f0").alias("first_id"),
-            )
-        self.version += 1
-        at = f"{self.path}/v={self.version}"
-        new.select("key", "n", "first_id", "bucket").repartition(min(self.buckets, 16), "bucket").write.partitionBy("bucket").parquet(at)
-        dirs = self._buckets_of(at)
-        stale = {self.parts[b] for b in dirs if b in self.parts}
-        self.parts |= dirs
-        for p in stale:
-            delete_path(self.spark, p)
-
-    def _buckets_of(self, at: str) -> dict[int, str]:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(at)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return {int(n.split("=")[1]): f"{at}/{n}" for n in names if n.startswith("bucket=")}
+        if parts:
+            new = cut(new, "batch")
+            touched = {r[0] for r in new.select(self.bucket().alias("b")).distinct().collect()}
+            old = self.read(touched).select("key", F.col("n").alias("n0"), F.col("first_id").alias("f0"))
+            whole = new.join(old, "key", "full_outer").select("key", (F.coalesce("n", F.lit(0)) + F.coalesce("n0", F.lit(0))).alias("n"), F.least("first_id", "f0").alias("first_id"))
+        else:
+            whole = new
+        at = f"v{version + 1}-{uuid.uuid4().hex[:8]}"
+        # as many tasks as buckets: both follow the size that the ledger was made for
+        whole.withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{at}")
+        dirs = {n.split("=")[1]: f"{at}/{n}" for n in list_names(self.spark, f"{self.path}/{at}") if n.startswith("bucket=")}
+        old_files = [parts[b] for b in dirs if b in parts]
+        self.pointer.write(version + 1, {"buckets": self.buckets, "parts": parts | dirs, "old": old_files})
+        for p in state.get("old", []):
+            delete_path(self.spark, f"{self.path}/{p}")
+        if parts:
+            delete_path(self.spark, new._leadweave_path)
 
     def copies(self, rows: DataFrame, total: int, hot: int = 1000) -> DataFrame:
         """``rows`` (``key``, ``id``, ...) of keys with more than one copy, with ``first_id`` and ``n``.
@@ -103,10 +108,10 @@ def keyed(spark: SparkSession, d: str) -> DataFrame:
     return leads.unionByName(lists)
 
 
-def replay(rows: DataFrame, rounds: int = 3) -> tuple[Ledger, int]:
+def replay(rows: DataFrame, rounds: int = 3, path: str | None = None) -> tuple[Ledger, int]:
     """The ledger after all arrivals of ``rows``, taken in in ``rounds`` batches in order of arrival; and the row count."""
-    ledger = Ledger(rows.sparkSession)
     low, high, total = rows.agg(F.min("arrival"), F.max("arrival"), F.count(F.lit(1))).first()
+    ledger = Ledger(rows.sparkSession, path, buckets=min(4096, max(8, total // BUCKET_KEYS)))
     if total:
         step = max(1, -(-(high - low + 1) // rounds))
         for at in range(low, high + 1, step):

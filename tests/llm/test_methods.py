@@ -61,6 +61,23 @@ def test_ledger_equals_counting(spark):
     assert pairs == {(min(v), x) for v in groups.values() for x in v if x != min(v)}
 
 
+def test_ledger_opens_again(spark):
+    row = lambda *ks: spark.createDataFrame([(k, i) for k, i in ks], "t string, id long").select(F.unhex(F.md5("t")).alias("key"), "id")
+    first = ledger.Ledger(spark, buckets=64)
+    first.add(row(("a", 5), ("b", 6), ("a", 7)))
+    again = ledger.Ledger(spark, first.path)
+    assert again.buckets == 64
+    before = dict(again.pointer.read()[1]["parts"])
+    again.add(row(("a", 2)))
+    after = again.pointer.read()[1]["parts"]
+    # one bucket was written, the others stay as they are, and a step without a state file doesn't count
+    assert len([b for b in after if before.get(b) != after[b]]) == 1
+    row(("z", 1)).write.parquet(f"{first.path}/v9-broken/bucket=1")
+    assert sorted((r.n, r.first_id) for r in ledger.Ledger(spark, first.path).read().collect()) == [(1, 6), (3, 2)]
+    again.add(row())
+    assert sorted((r.n, r.first_id) for r in first.read().collect()) == [(1, 6), (3, 2)]
+
+
 def test_ledger_keys(spark):
     rows = [
         ("www.a-b.test", "A & B", "Town", "DE", "<info@a-b.test>"), ("INFO@a-b.test;", "a b", " town,", "de", "https://a-b.test/x"), ("a-b.test", "Ä & B", "Town", "DE", "info@a-b.test"),
