@@ -5,10 +5,11 @@ inequality holds), returns every name within the threshold; a swap of neighbouri
 country code); a value's own group is searched first, then the other shards, and the winners of the shards merge by
 (distance, own group, id). Up to ``max_broadcast`` entries the trees travel with the tasks and the whole operator is
 one map without a shuffle; a larger list stays on the executors: entries are salted over shards, values are sent to
-every shard in blocks and the winners merge by a ``min`` per value.
+every shard in blocks and the winners of every step merge, so the answers are the same.
 
 A value is compared in these writings, in order; the first that hits wins: the whole value, the value without post
-codes, country codes and names, and words that only say "part of" or "region of", then every run of its words.
+codes, country codes and names, and words that only say "part of" or "region of", then every run of its words. Equal
+writings are the tree's hits at distance 0.
 Truncated values ("Skiskerh.") match the one entry that they begin.
 
 Defined results: NULL and blank values give -1 when they are asked for; ties go to the own group, then the smallest
@@ -20,6 +21,7 @@ stay repeated rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -89,55 +91,50 @@ class Matcher:
             for g in groups:
                 words_of[g].add(w)
         self.trees = {g: BKTree(sorted(ws)) for g, ws in words_of.items()}
-        self.sorted = {g: sorted(ws) for g, ws in words_of.items()}
+        self.everything = BKTree(sorted(self.ids))
+        self.sorted = sorted(self.ids)
         self.longest = max(map(len, self.ids), default=0)
+        self.most_words = max((w.count(" ") + 1 for w in self.ids), default=0)
         self.resolve = lru_cache(1 << 16)(self._resolve)
 
-    def _best(self, hits: list[tuple[int, str]], groups) -> tuple | None:
-        """The least (distance, rank, id) among writings, within some groups."""
-        return min(((d, *self.ids[w][g]) for d, w in hits for g in groups if g in self.ids[w]), default=None)
+    def _hits(self, found: list[tuple[int, str]], group: str | None, groups=None) -> list[tuple[int, int, int, int]]:
+        """(0 in the own group else 1, distance, rank, id) of writings at their distances."""
+        return [(int(g != group), d, *at) for d, w in found for g, at in self.ids[w].items() if groups is None or g in groups]
 
-    def _exact(self, word: str, group: str | None) -> int | None:
-        if word in self.ids:
-            own = self._best([(0, word)], [group]) if group else None
-            got = own or self._best([(0, word)], self.ids[word])
-            return got[2]
-        return None
+    def _exact(self, word: str, group: str | None) -> list:
+        return self._hits(self.everything.search(word, 0), group) if len(word) <= self.longest else []
 
-    def _near(self, word: str, group: str | None) -> int | None:
+    def _near(self, word: str, group: str | None) -> list:
+        """Every writing within the threshold, of the own group if it has one."""
         r = radius(word, self.threshold)
         if len(word) > self.longest + r or not r:
-            return None
-        hits = lambda g: [x for x in self.trees[g].search(word, r) if len(x[1]) > 4]
-        if group in self.trees and (got := self._best(hits(group), [group])):
-            return got[2]
-        found = [got for g in self.trees if g != group and (got := self._best(hits(g), [g]))]
-        return min(found)[2] if found else None
-
-    def _begins(self, word: str, group: str | None) -> int | None:
-        """The entry that a truncated value begins, if it is the only one (of its own group, else of all)."""
-        if len(word.replace(" ", "")) < 4:
-            return None
-        for groups in ([group] if group in self.sorted else [], self.sorted):
-            got = {self.ids[w][g][1] for g in groups for w in self.sorted[g] if w.startswith(word)}
-            if len(got) == 1:
-                return got.pop()
+            return []
+        for groups in ([group] if group in self.trees else [], [g for g in self.trees if g != group]):
+            got = [h for g in groups for h in self._hits([x for x in self.trees[g].search(word, r) if len(x[1]) > 4], group, (g,))]
             if got:
-                return None
-        return None
+                return got
+        return []
 
-    def _resolve(self, text: str | None, group: str | None) -> int:
+    def _begins(self, word: str, group: str | None) -> list:
+        """The entries that a truncated value begins: a range of the sorted writings."""
+        if len(word.replace(" ", "")) < 4:
+            return []
+        low, high = bisect_left(self.sorted, word), bisect_left(self.sorted, word + "\U0010ffff")
+        return self._hits([(len(w) - len(word), w) for w in self.sorted[low:high]], group)
+
+    def steps(self, text: str | None, group: str | None) -> Iterator[tuple[int, bool, list]]:
+        """What the value can denote, step by step, of which the first that tells counts: (step, whether the entry must be
+        the only one, hits). The steps of a value are the same whatever part of the list a matcher holds."""
         text = unmojibake(text or "")
         group = (group or "").strip().upper() or None
         full = strip_marks(text)
-        if not full or len(full) > 40 * (self.longest + 2):
-            return -1
-        if (got := self._exact(full, group)) is not None:
-            return got
+        if not full:
+            return
+        yield 0, False, self._exact(full, group)
         if self.code_is_entry:
             joined = full.replace(" ", "")
-            if len(joined) <= 4 and (got := self._exact(joined, group)) is not None:
-                return got
+            if len(joined) <= 4:
+                yield 1, False, self._exact(joined, group)
         words = full.split()
         # what the text itself says about the country decides where the row is silent
         kept, said = [], None
@@ -157,24 +154,40 @@ class Matcher:
         group = group or said
         core = [w for w in kept if w not in PART_WORDS]
         tries = list(dict.fromkeys(" ".join(x) for x in (kept, core) if x))
-        for t in tries:
-            if (got := self._exact(t, group)) is not None:
-                return got
+        for k, t in enumerate(tries):
+            yield 2 + k, False, self._exact(t, group)
         if text.rstrip().endswith("."):
-            for t in tries:
-                if (got := self._begins(t, group)) is not None:
-                    return got
-        for t in dict.fromkeys([full, *tries]):
-            if (got := self._near(t, group)) is not None:
-                return got
+            for k, t in enumerate(tries):
+                yield 4 + k, True, self._begins(t, group)
+        for k, t in enumerate(dict.fromkeys([full, *tries])):
+            yield 6 + k, False, self._near(t, group)
         # runs of words inside a longer value, longest first; only whole names, not their short forms
-        limit = max((w.count(" ") + 1 for w in self.ids), default=0)
-        for n in range(min(limit, len(words) - 1), 0, -1):
+        known = [w in PART_WORDS or any(c.isdigit() for c in w) or bool(self.codes.get(w)) for w in words]
+        before = [0]
+        for x in known:
+            before.append(before[-1] + (not x))
+        for n in range(min(self.most_words, len(words) - 1), 0, -1):
             for k in range(len(words) - n + 1):
-                run = " ".join(words[k : k + n])
-                if len(run) > 4 and run in self.ids and min(self.ids[run].values())[0] == 0 and all(w in PART_WORDS or any(c.isdigit() for c in w) or self.codes.get(w) for w in words[:k] + words[k + n :]):
-                    return self._exact(run, group)
-        return -1
+                if before[k] + before[-1] - before[k + n] == 0:
+                    run = " ".join(words[k : k + n])
+                    if len(run) > 4 and run in self.ids and min(self.ids[run].values())[0] == 0:
+                        yield 1000 - n, False, [h for h in self._exact(run, group)]
+                        return
+
+    def _resolve(self, text: str | None, group: str | None) -> int:
+        return decide((step, alone, h) for step, alone, hits in self.steps(text, group) for h in [hits] if h)
+
+
+def decide(outcomes) -> int:
+    """The id of the first step that tells: the least (other group, distance, rank, id); where the entry must be the only
+    one, the one of the own group or, without one there, of all."""
+    for _, alone, hits in outcomes:
+        if not alone:
+            return min(hits)[3]
+        ids = {h[3] for h in hits if not h[0]} or {h[3] for h in hits}
+        if len(ids) == 1:
+            return ids.pop()
+    return -1
 
 
 def map_values(df: DataFrame, value: str, group: str | None, entries: list[tuple[int, str, list[str]]], codes: dict[str, str] | None = None, code_is_entry: bool = False, threshold: int = THRESHOLD, out: str = "ref_id") -> DataFrame:
@@ -204,12 +217,12 @@ def read_entries(ref: DataFrame, id_col: str, group_col: str, name_cols: list[st
     return [(r[0], r[1], [n for c in r[2:] if c for n in c.split(separator) if n.strip()]) for r in rows]
 
 
-def map_values_sharded(df: DataFrame, value: str, group: str | None, ref: DataFrame, id_col: str, group_col: str, name_cols: list[str], shards: int, block_rows: int = 20_000, threshold: int = THRESHOLD, out: str = "ref_id", separator: str = "|") -> DataFrame:
-    """The same for a list too large to travel: every distinct value meets every shard's tree, winners merge.
+def map_values_sharded(df: DataFrame, value: str, group: str | None, ref: DataFrame, id_col: str, group_col: str, name_cols: list[str], codes: dict[str, str] | None = None, code_is_entry: bool = False, shards: int = 2, block_rows: int = 20_000, threshold: int = THRESHOLD, out: str = "ref_id", separator: str = "|") -> DataFrame:
+    """The same for a list too large to travel: every distinct value meets every shard's trees, winners merge.
 
-    Entries are salted over ``shards``; each (shard, block of values) is one group of bounded size. A shard returns
-    its winner with its distance and whether it is of the own group; the least (distance, other group, id) wins.
-    Truncated values and short forms are judged inside a shard.
+    Entries are salted over ``shards``; each (shard, block of values) is one group of bounded size. A shard returns, of
+    every step of a value, its best hit with its distance (of a step that wants the only entry, its first two of the own
+    group and of the others); merged by step, they give what one matcher over the whole list gives.
     """
     g = F.col(group) if group else F.lit(None).cast("string")
     q = df.select(F.col(value).alias("_v"), g.alias("_g")).distinct()
@@ -219,23 +232,32 @@ def map_values_sharded(df: DataFrame, value: str, group: str | None, ref: DataFr
     names = F.concat_ws(separator, *[F.col(c) for c in name_cols])
     r = ref.select(F.col(id_col).cast("long").alias("_id"), F.col(group_col).alias("_rg"), names.alias("_n"))
     r = r.withColumn("_s", F.pmod(F.xxhash64("_id"), F.lit(shards)).cast("int")).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    hit = "_step int, _alone boolean, _o int, _d int, _r int, _i long"
 
     def one(values: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         rows = [(int(i), g, [n for n in names.split(separator) if n.strip()]) for i, g, names in zip(entries["_id"], entries["_rg"], entries["_n"], strict=True)]
-        m, group_of = Matcher(rows, threshold=threshold), {r[0]: (r[1] or "").upper() for r in rows}
-        forms = defaultdict(set)
-        for i, _, names in rows:
-            forms[i] |= {w for n in names for _, w in name_forms(n)}
-        got = []
+        m, got = Matcher(rows, codes, code_is_entry, threshold), []
         for v, g in zip(values["_v"], values["_g"], strict=True):
-            i = m.resolve(v, g)
-            if i >= 0:
-                word = strip_marks(v)
-                got.append((v, g, 0 if word in forms[i] else 1, int(group_of[i] != (g or "").strip().upper()), i))
-        return pd.DataFrame(got, columns=["_v", "_g", "_d", "_o", "_i"])
-
-    won = q.groupBy("_s", "_b").cogroup(r.groupBy("_s", "_b")).applyInPandas(one, "_v string, _g string, _d int, _o int, _i long")
-    won = won.groupBy("_v", "_g").agg(F.min(F.struct("_d", "_o", "_i"))["_i"].alias("_i"))
+            for step, alone, hits in m.steps(v, g):
+                if not alone:
+                    kept = [min(hits)] if hits else []
+                else:
+                    firsts = {h[0]: {} for h in hits}
+                    for h in sorted(hits):
+                        firsts[h[0]].setdefault(h[3], h)
+                    kept = [h for x in firsts.values() for h in list(x.values())[:2]]
+                got += [(v, g, step, alone, *h) for h in kept]
+        return pd.DataFrame(got, columns=["_v", "_g", "_step", "_alone", "_o", "_d", "_r", "_i"])
+
+    def merge(hits) -> int:
+        steps = defaultdict(list)
+        for h in hits:
+            steps[h["_step"], h["_alone"]].append((h["_o"], h["_d"], h["_r"], h["_i"]))
+        return decide((step, alone, steps[step, alone]) for step, alone in sorted(steps))
+
+    decided = F.pandas_udf(lambda s: pd.Series([merge(x) for x in s], dtype="int64"), "long")
+    won = q.groupBy("_s", "_b").cogroup(r.groupBy("_s", "_b")).applyInPandas(one, f"_v string, _g string, {hit}")
+    won = won.groupBy("_v", "_g").agg(F.collect_list(F.struct("_step", "_alone", "_o", "_d", "_r", "_i")).alias("_h")).select("_v", "_g", decided("_h").alias("_i"))
     on = df[value].eqNullSafe(won["_v"]) & (df[group].eqNullSafe(won["_g"]) if group else F.lit(True))
     return df.join(won, on, "left").drop("_v", "_g").withColumn(out, F.coalesce("_i", F.lit(-1))).drop("_i")
 
@@ -246,10 +268,13 @@ def typed(df: DataFrame, value: str, ref: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col(value).rlike(r"[^\s]")).join(F.broadcast(known), F.col(value) == F.col("_k"), "left_anti")
 
 
-def country_codes(countries: DataFrame) -> dict[str, str]:
-    """Folded country names and codes -> code; the list has a few hundred entries at most."""
+def country_codes(countries: DataFrame, bound: int = 2000) -> dict[str, str]:
+    """Folded country names and codes -> code; a list of more than ``bound`` countries is an error."""
     out = {}
-    for r in countries.select("code", "country", "other_names").limit(2000).collect():
+    rows = countries.select("code", "country", "other_names").limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} countries")
+    for r in rows:
         for n in [r[0], r[1], *(r[2] or "").split("|")]:
             if n and n.strip():
                 out[strip_marks(n)] = r[0]
@@ -261,4 +286,4 @@ def map_list(df: DataFrame, value: str, group: str | None, ref: DataFrame, id_co
     entries = read_entries(ref, id_col, group_col, name_cols, max_broadcast=max_broadcast)
     if entries is not None:
         return map_values(df, value, group, entries, codes, code_is_entry)
-    return map_values_sharded(df, value, group, ref, id_col, group_col, name_cols, shards=-(-ref.count() // max_broadcast))
+    return map_values_sharded(df, value, group, ref, id_col, group_col, name_cols, codes, code_is_entry, shards=-(-ref.count() // max_broadcast))

@@ -47,6 +47,26 @@ def test_sharded_list_gives_the_same(spark):
     assert one == many
 
 
+def test_sharded_lists_of_the_tables_give_the_same(spark, small):
+    t = lambda name: spark.read.parquet(f"{small}/{name}.parquet")
+    countries, cities = t("ref_countries"), t("ref_cities")
+    codes = cm.country_codes(countries)
+    for args in [
+        (t("leads").select("seq", "city", "country"), "city", "country", cities, "city_id", "country", ["city", "other_name"], codes, False),
+        (t("incoming_list").select("row_id", "country"), "country", None, countries, "country_id", "code", ["country", "other_names"], codes, True),
+    ]:
+        one = sorted(map(tuple, cm.map_list(*args).collect()), key=repr)
+        many = sorted(map(tuple, cm.map_list(*args, max_broadcast=args[3].count() // 3).collect()), key=repr)
+        assert one == many
+    # a truncated value that begins entries of two shards denotes none
+    ref = spark.createDataFrame([(i, "DE", f"Skisker{x}", None) for i, x in enumerate("abcdefgh")] + [(9, "DE", "Glurnix", None)], "id long, g string, name string, other string")
+    df = spark.createDataFrame([("Skisk.", "DE"), ("Glur.", "DE"), ("Skiskera.", "DE")], "v string, g string")
+    got = {r.v: r.ref_id for r in cm.map_list(df, "v", "g", ref, "id", "g", ["name", "other"], max_broadcast=2).collect()}
+    assert got == {"Skisk.": -1, "Glur.": 9, "Skiskera.": 0}
+    with pytest.raises(ValueError):
+        cm.country_codes(countries, bound=3)
+
+
 def test_ledger_equals_counting(spark):
     rng = random.Random(1)
     rows = [("s", i, rng.randrange(5), f"k{min(rng.randrange(60), 40)}") for i in range(400)]
