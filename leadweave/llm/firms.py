@@ -21,7 +21,7 @@ from leadweave.constants import PLACEHOLDERS
 from leadweave.llm.batches import with_row_function
 from leadweave.llm.edit import damerau
 from leadweave.llm.fold import canon_word, strip_marks, unmojibake
-from leadweave.llm.known import Parser, name_label
+from leadweave.llm.known import Parser
 from leadweave.llm.spelling import Spelling, spelling
 from leadweave.llm.components import components
 
@@ -69,15 +69,16 @@ class Words:
     def _of(self, name: str | None, email: str | None, site: str | None):
         """(name words, site words, mail words, address, site, hash of the name without writing)."""
         address, kind, text, host = self.parser.parse(email, site)
-        label = name_label(host) if host else ""
+        label = host.partition(".")[0] if host else ""
         n = (name or "") if self.canon else ""
         if n.isascii():
             letters = "" if n.strip().lower() in PLACEHOLDERS else "".join(_TOKEN.findall(n.lower()))
         else:
             letters = canon_word(n)
         canon = xxhash.xxh64_intdigest(letters) >> 1 if letters else 0
-        mails = "" if not text else _mail_words(text) if kind == "p" else _label_words(text)
-        return " ".join(name_words(name)), _label_words(label) if label else "", mails, address, host, canon
+        sites = _label_words(label) if label else ""
+        mails = "" if not text else _mail_words(text) if kind == "p" else sites if text == label else _label_words(text)
+        return " ".join(name_words(name)), sites, mails, address, host, canon
 
 
 def words(rows: DataFrame, keep: list[str], providers: list[str]) -> DataFrame:
@@ -168,7 +169,7 @@ class Reader:
         self.read = self._read
         self.plain = lru_cache(1 << 18)(lambda w: len(w) < 3 or w in generic)
         self.pair = lru_cache(1 << 18)(self._pair)
-        self.fixed = lru_cache(1 << 12)(self._fixed)
+        self.fixed = self._fixed
 
     def core(self, ws: list[str], against: list[str]) -> tuple[str, ...]:
         """Identifying words, sorted, joined ones apart; beyond two, only those that are strong or near a word of another
@@ -205,6 +206,10 @@ class Reader:
                         break
                 else:
                     return pair, []
+        elif names and not sites and not mails:
+            w = tuple(sorted(x for x in names.split(" ") if not self.plain(x)))
+            if len(w) == 2 and all(x in self.strong and self.known.sound(x) for x in w):
+                return w, []
         names, sites, mails = names.split(), sites.split(), mails.split()
         n, s, m = self.core(names, sites + mails), self.core(sites, names + mails), self.core(mails, names + sites)
         found = [(r, p) for p, r in enumerate((s, n, m)) if r]

@@ -272,6 +272,8 @@ def registered(host: str, second: frozenset[str] = frozenset(SECOND_LEVEL)) -> s
     """The host without subdomains: the ending and the label before it. An ending has two labels if the last one is a
     country's (two letters) and the one before is one of ``second``."""
     labels = host.split(".")
+    if len(labels) < 3:
+        return host
     n = 3 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in second else 2
     return ".".join(labels[-n:])
 
@@ -300,7 +302,7 @@ class Parser:
             return any(damerau(host, p, 1) <= 1 for p in near)
 
         self.at_provider = lru_cache(1 << 16)(like)
-        self.parse = lru_cache(1 << 14)(self._parse)
+        self.parse = self._parse
 
     def mailbox(self, mail: str) -> tuple[str | None, str | None, str | None]:
         """(address without tag, kind, distinctive text); kind ``p`` at a provider, else ``h``."""
@@ -333,8 +335,10 @@ class Parser:
         return mail_text(v), host_text(v)
 
     def _parse(self, one: str | None, other: str | None):
-        (mail, host), (mail2, host2) = self.split(one), self.split(other)
-        return (*self.mailbox(mail or mail2), self.site(host2 or host))
+        mail, host = self.split(one)
+        mail2, host2 = self.split(other)
+        mail, host = mail or mail2, host2 or host
+        return (*(self.mailbox(mail) if mail else (None, None, None)), self.site(host) if host else None)
 
 
 def parsed(df: DataFrame, keep: list[str], one: str, other: str, providers: list[str]) -> DataFrame:
