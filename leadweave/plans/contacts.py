@@ -273,8 +273,9 @@ def first_wins_upsert(spark: SparkSession, d: str) -> DataFrame:
     return store.insert_absent(new, old).select("seq", "domain")
 
 
-#: The time that updates get here, so that both sides have the same.
-NOW = F.lit("2025-01-01 12:00:00").cast("timestamp_ntz")
+def noon():
+    """The time that updates get here, so that both sides have the same."""
+    return F.lit("2025-01-01 12:00:00").cast("timestamp_ntz")
 
 
 def pool(spark: SparkSession, d: str) -> DataFrame:
@@ -292,14 +293,14 @@ SELECT seq, CASE WHEN p THEN 'done' ELSE status END AS status, CASE WHEN p THEN
 CASE WHEN p THEN TIMESTAMP '2025-01-01 12:00:00' ELSE checked_at END AS checked_at FROM (SELECT pool.*, mail, coalesce(status = 'pending' AND mail IS NOT NULL, false) AS p FROM pool LEFT JOIN mails USING (domain))""")
 def promote_pending(spark: SparkSession, d: str) -> DataFrame:
     mails = table(spark, d, "incoming_list").select(T.host(F.col("website")).alias("domain"), F.col("email").alias("mail"), F.col("row_id").alias("seq"))
-    return store.promote_pending(pool(spark, d), mails, NOW).select("seq", "status", "email", "note", "checked_at")
+    return store.promote_pending(pool(spark, d), mails, noon()).select("seq", "status", "email", "note", "checked_at")
 
 
 @query(f"""WITH {D_POOL}, {D_SITES} SELECT seq, CASE WHEN s.domain IS NULL THEN p.status ELSE s.status END AS status, CASE WHEN s.domain IS NULL THEN p.email ELSE s.email END AS email,
 CASE WHEN s.domain IS NULL THEN p.all_mails ELSE s.all_mails END AS all_mails, CASE WHEN s.domain IS NULL THEN p.note ELSE s.note END AS note,
 CASE WHEN s.domain IS NULL THEN p.checked_at ELSE TIMESTAMP '2025-01-01 12:00:00' END AS checked_at FROM pool p LEFT JOIN sites s ON s.domain = p.domain""")
 def apply_results(spark: SparkSession, d: str) -> DataFrame:
-    return store.apply_results(pool(spark, d), contacts.extract_sites(fetched(spark, d)), NOW).select("seq", "status", "email", "all_mails", "note", "checked_at")
+    return store.apply_results(pool(spark, d), contacts.extract_sites(fetched(spark, d)), noon()).select("seq", "status", "email", "all_mails", "note", "checked_at")
 
 
 @query(f"WITH {D_POOL} SELECT seq, domain FROM pool WHERE status = 'pending' ORDER BY seq LIMIT 100")
@@ -484,7 +485,7 @@ def drain_stream(spark: SparkSession, d: str) -> DataFrame:
     s, at = _filled(spark, d), work_path(spark, "drain")
     write_fetch(fetched(spark, d), f"{at}/fetch")
     s.read().filter("status = 'pending'").select("domain").repartition(4, "domain").write.parquet(f"{at}/queue")
-    drain(spark, f"{at}/queue", f"{at}/fetch", s, f"{at}/checkpoint", 2, NOW)
+    drain(spark, f"{at}/queue", f"{at}/fetch", s, f"{at}/checkpoint", 2, noon())
     return s.read().select("domain", "status", "email", "all_mails", "note", "checked_at")
 
 
@@ -499,4 +500,4 @@ def unattended_export(spark: SparkSession, d: str) -> DataFrame:
     """The unattended loop to its end: drain, then export."""
     s, at = _filled(spark, d), work_path(spark, "loop")
     write_fetch(fetched(spark, d), f"{at}/fetch")
-    return unattended(spark, s, f"{at}/fetch", table(spark, d, "firmalar"), table(spark, d, "sent_log"), at, now=NOW)[0]
+    return unattended(spark, s, f"{at}/fetch", table(spark, d, "firmalar"), table(spark, d, "sent_log"), at, now=noon())[0]
