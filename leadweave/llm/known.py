@@ -385,7 +385,7 @@ def add_batch(index: BandIndex, rows: DataFrame) -> DataFrame:
     return x.select("seq", F.explode(src).alias("hist_src"))
 
 
-def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, providers: list[str], rounds: int = 3, path: str | None = None) -> DataFrame:
+def known_leads(leads: DataFrame, sent: DataFrame, campaign: DataFrame, providers: list[str], rounds: int = 2, path: str | None = None) -> DataFrame:
     """(``seq``, ``hist_src``): every lead already known, once per history.
 
     The histories go into a new index first, then the batches in order of arrival, in ``rounds`` steps.
