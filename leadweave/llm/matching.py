@@ -7,9 +7,16 @@ countries. Every record retrieves the best two of every table, its own included,
 Top-k pruning: readings, addresses and sites are the essential terms. A record that shares none of them with another shares
 a word, a town or a country at most, which is less than half of its own score and so under the least share of a match;
 only lists of essential terms bring up candidates, the other terms are added for these. A list of up to ``FULL``
-records is read whole. In a longer one all candidates tie but for their other terms, so its records meet through its
-term joined with each of their other terms; what is still longer then ties, and a tie goes to the least two records of each
-table. No list is dropped, and none costs more than its length times ``FULL``.
+records is read whole. A longer one gives all pairs that can be among the best two of a record and table:
+
+* those that share a further term of up to ``FULL`` of its records,
+* those that can be spellings of one firm, which the score favours,
+* else two share only terms that many of its records have. Of all that share the same ones, or more, the score is least
+  with these, times a factor that falls with the length: no record can beat the three shortest of a table (one may be the
+  record itself). So they stand for every combination of such terms. Records with more than ``SUBSETS`` such terms
+  meet the whole list.
+
+So the best two are those of comparing all pairs, and the long lists that two records share count once in their score.
 
 A candidate is a match if it is the nearest, if the test holds the other way round as well (the other's nearest in
 this table is this record), if the two can be spellings of one firm (an edit test), and if its confidence is one half
@@ -28,6 +35,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +52,8 @@ from leadweave.llm.marks import Marks
 from leadweave.llm.spelling import SHARE, shorter
 from leadweave.session import cut, table
 
-#: A list of more records is split by their other terms.
-FULL = 64
+#: A list of more records is split by their other terms; so many terms that more records share are read in all combinations.
+FULL, SUBSETS = 64, 8
 CALIBRATION = 5_000
 #: Constants of BM25.
 K1, B = 1.2, 0.4
@@ -132,34 +140,104 @@ def essential_terms(x: DataFrame) -> DataFrame:
     return x.select("rec", "src", F.explode("terms").alias("term"))
 
 
-def candidates(post: DataFrame, other: DataFrame, total: int = 1) -> DataFrame:
+def near_readings(keys: list[tuple[str, ...]]) -> set[tuple[int, int]]:
+    """(i, j), i < j, of all readings of a list that can be spellings of one another by ``firms.near_sets``, and some more: every
+    word is looked up with the words of the list an edit away, and two words of a reading also as one."""
+    at: dict[str, set[str]] = {}
+    for w in {w for k in keys for w in k}:
+        for s in shorter(w):
+            at.setdefault(s, set()).add(w)
+    near = lru_cache(1 << 16)(lambda w: [v for v in set().union(*(at.get(s, ()) for s in shorter(w))) if firms.near_words(w, v)])
+    having: dict[tuple[str, ...], list[int]] = {}
+    for i, k in enumerate(keys):
+        having.setdefault(k, []).append(i)
+
+    def joined(k: tuple[str, ...]) -> set[tuple[str, ...]]:
+        out, todo = {k}, [k]
+        while todo:
+            k = todo.pop()
+            for i, v in enumerate(k if len(k) <= 6 else ()):
+                for j, w in enumerate(k):
+                    if i != j and near(v + w):
+                        z = tuple(sorted([x for n, x in enumerate(k) if n not in (i, j)] + [v + w]))
+                        if z not in out:
+                            out.add(z)
+                            todo.append(z)
+        return out
+
+    out = set()
+    for k, mine in having.items():
+        for z in joined(k):
+            options = [near(w) for w in z]
+            if math.prod(map(len, options)) > len(having):
+                found = [y for y in having if len(y) == len(z) and firms.near_sets(z, y)]
+            else:
+                found = [y for y in {tuple(sorted(c)) for c in product(*options)} if y in having]
+            out |= {(min(i, j), max(i, j)) for y in found for i in mine for j in having[y] if i != j}
+    return out
+
+
+def within(hot: DataFrame, other: DataFrame, docs: DataFrame | None) -> DataFrame:
+    """(a, b), a < b: of lists (rec, src, term) longer than ``FULL`` all pairs that can be the best two of a record and table."""
+    listed = hot.select("rec", "src", F.col("term").alias("list"))
+    also = Marks(listed, "rec").keep(other.select("rec", "term"), "rec").unionByName(hot.select("rec", "term")).distinct()
+    if docs is None:
+        own = listed.select("rec", F.lit(0).alias("size"), F.lit(None).cast("string").alias("key")).distinct()
+    else:
+        own = Marks(listed, "rec").keep(docs, "rec").select("rec", (F.size(F.split("key", " ")) + F.size("towns") + F.size("lands")).alias("size"), "key")
+    listed = cut(listed.join(own, "rec"), "hot-lists")
+    w = Window.partitionBy("list", "term")
+    both = cut(listed.drop("size", "key").join(also, "rec").filter("list <> term").withColumn("n", F.count(F.lit(1)).over(w)).filter("n > 1"), "split-lists")
+    # what few records of a list share brings these together
+    few = both.filter(F.col("n") <= FULL).groupBy("list", "term").agg(F.sort_array(F.collect_list("rec")).alias("recs"))
+    out = few.select("recs", F.posexplode("recs").alias("k", "a")).select("a", F.explode(F.slice("recs", F.col("k") + 2, F.lit(FULL))).alias("b"))
+    pair = lambda df: df.filter("rec <> to").select(F.least("rec", "to").alias("a"), F.greatest("rec", "to").alias("b"))
+    # else two records share terms that many have: among those that share as much, the shortest three of a table win
+    many = both.filter(F.col("n") > FULL).groupBy("list", "rec").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    listed = cut(listed.join(many, ["list", "rec"], "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<long>"))), "shared")
+    parts = F.expr("transform(sequence(0, shiftleft(1, size(terms)) - 1), m -> xxhash64(list, filter(terms, (t, i) -> (shiftright(m, i) & 1) = 1)))")
+    each = listed.filter(F.size("terms") <= SUBSETS).select("rec", "src", "size", F.explode(parts).alias("part"))
+    first = each.withColumn("r", F.row_number().over(Window.partitionBy("part", "src").orderBy("size", "rec"))).filter("r <= 3")
+    out = out.unionByName(pair(each.join(first.select("part", F.col("rec").alias("to")), "part")))
+    # records with more such terms meet their whole list
+    out = out.unionByName(pair(listed.filter(F.size("terms") > SUBSETS).select("list", "rec").join(listed.select("list", F.col("rec").alias("to")), "list")))
+    if docs is not None:
+
+        def spelled(t: pa.Table) -> pa.Table:
+            recs = t.column("rec").to_pylist()
+            found = near_readings([tuple(k.split(" ")) for k in t.column("key").to_pylist()])
+            return pa.table({"rec": pa.array([recs[i] for i, _ in found], pa.int64()), "to": pa.array([recs[j] for _, j in found], pa.int64())})
+
+        out = out.unionByName(pair(listed.select("list", "rec", "key").groupBy("list").applyInArrow(spelled, "rec long, to long")))
+    return out.distinct()
+
+
+def candidates(post: DataFrame, other: DataFrame, total: int = 1, docs: DataFrame | None = None) -> DataFrame:
     """(a, b, essential, same): pairs of records, a < b, that share an essential term, of postings (rec, src, term), with the
     weights of these terms and whether one of them is an address or a site. ``other`` gives the further terms (rec, term)
-    of records in lists longer than ``FULL``."""
-    def lists(p: DataFrame) -> DataFrame:
-        """Postings of the lists of more than one record, with their length: up to ``FULL`` all of them, else to be split."""
-        w = Window.partitionBy("term")
-        return p.withColumn("n", F.count(F.lit(1)).over(w)).filter("n > 1").distinct().withColumn("n", F.count(F.lit(1)).over(w).cast("int")).filter("n > 1")
-
-    def whole(p: DataFrame) -> DataFrame:
-        l = p.filter(F.col("n") <= FULL).groupBy("term", "n").agg(F.sort_array(F.collect_list("rec")).alias("recs"))
-        return l.select("term", "n", "recs", F.posexplode("recs").alias("k", "a")).select("a", F.explode(F.slice("recs", F.col("k") + 2, F.lit(FULL))).alias("b"), "term", "n")
-
-    found = cut(lists(post), "lists")
-    out, hot = whole(found), found.filter(F.col("n") > FULL)
-    if not hot.isEmpty():
-        also = hot.select("rec", F.col("term").alias("t2")).unionByName(other.select("rec", F.col("term").alias("t2")))
-        both = hot.join(also, "rec").filter(F.col("term") != F.col("t2")).select((F.xxhash64(F.least("term", "t2"), F.greatest("term", "t2")).bitwiseAND(F.lit(~1))).alias("term"), "rec", "src")
-        more = cut(lists(both), "split-lists")
-        rest = more.filter(F.col("n") > FULL).unionByName(hot)
-        # all others of such a list tie: the least two of every table win
-        least = rest.groupBy("term", "src").agg(F.min("rec").alias("m1"))
-        second = rest.join(least, ["term", "src"]).filter(F.col("rec") > F.col("m1")).groupBy("term", "src").agg(F.min("rec").alias("m2"))
-        least = least.select("term", F.col("m1").alias("to")).unionByName(second.select("term", F.col("m2").alias("to")))
-        tied = rest.select("term", "rec", "n").join(least, "term").filter(F.col("rec") != F.col("to")).select(F.least("rec", "to").alias("a"), F.greatest("rec", "to").alias("b"), "term", "n").distinct()
-        out = out.unionByName(whole(more)).unionByName(tied)
-    weight = F.log(1 + (F.lit(float(total)) - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    return out.groupBy("a", "b").agg(F.sum(weight).cast("float").alias("essential"), F.bool_or(F.col("term").bitwiseAND(F.lit(1)) == 1).alias("same"))
+    of records in lists longer than ``FULL``, ``docs`` their :func:`documents`; without these all are as long and none is near another."""
+    w = Window.partitionBy("term")
+    # the lists of more than one record
+    found = post.withColumn("n", F.count(F.lit(1)).over(w)).filter("n > 1").distinct().withColumn("n", F.count(F.lit(1)).over(w).cast("int")).filter("n > 1")
+    found = cut(found, "lists")
+    weight = lambda n: F.log(1 + (F.lit(float(total)) - n + 0.5) / (n + 0.5))
+    odd = lambda t: t.bitwiseAND(F.lit(1)) == 1
+    l = found.filter(F.col("n") <= FULL).groupBy("term", "n").agg(F.sort_array(F.collect_list("rec")).alias("recs"))
+    out = l.select("term", "n", "recs", F.posexplode("recs").alias("k", "a")).select("a", F.explode(F.slice("recs", F.col("k") + 2, F.lit(FULL))).alias("b"), "term", "n")
+    out = out.select("a", "b", weight(F.col("n")).alias("essential"), odd(F.col("term")).alias("same"))
+    hot = found.filter(F.col("n") > FULL)
+    known = not hot.isEmpty()
+    if known:
+        out = out.unionByName(within(hot, other, docs).select("a", "b", F.lit(0.0).alias("essential"), F.lit(False).alias("same")))
+    out = out.groupBy("a", "b").agg(F.sum("essential").alias("essential"), F.bool_or("same").alias("same"))
+    if known:
+        # whatever brought two records together, the long lists that they share count once
+        held = hot.groupBy("rec").agg(F.collect_list(F.struct("term", "n")).alias("held"))
+        out = out.join(held.select(F.col("rec").alias("a"), F.col("held").alias("p")), "a", "left").join(held.select(F.col("rec").alias("b"), F.col("held").alias("q")), "b", "left")
+        shared = F.coalesce(F.array_intersect("p", "q"), F.array().cast("array<struct<term: bigint, n: int>>"))
+        more = F.aggregate(shared, F.lit(0.0), lambda s, x: s + weight(x["n"]))
+        out = out.select("a", "b", (F.col("essential") + more).alias("essential"), (F.col("same") | F.exists(shared, lambda x: odd(x["term"]))).alias("same"))
+    return out.select("a", "b", F.col("essential").cast("float").alias("essential"), "same")
 
 
 def frequent(x: DataFrame, column: str, total: int) -> dict[int, int]:
@@ -245,7 +323,7 @@ def matches(rows: DataFrame, providers: list[str], codes: dict[str, str]) -> tup
     """(rows with their ``rec`` and ``k``, matches (q, d, src_q, src_d, k_q, k_d, score, confidence) between records)."""
     x, strong, total = records(rows, providers, codes)
     further = x.select("rec", F.explode(F.array_compact(F.concat(F.transform(F.split("key", " "), lambda w: F.xxhash64(w)), F.array("town", F.bitwise_not("land"))))).alias("term")).distinct()
-    cand = cut(candidates(essential_terms(x), further, total), "candidates")
+    cand = cut(candidates(essential_terms(x), further, total, documents(x)), "candidates")
     pairs = cut(scored(x, cand, strong, total), "scored", free=(cand,))
     w = Window.partitionBy("q", "src_d").orderBy(F.desc("score"), "d")
     best = pairs.select("*", F.row_number().over(w).alias("r"), F.lead("score").over(w).alias("next"))

@@ -391,6 +391,46 @@ def test_every_list_gives_candidates(spark):
     assert candidates(p.limit(0), o).count() == 0
 
 
+def test_long_lists_give_the_best_two_of_all_pairs(spark):
+    """Records of one site or two, that share words, towns and countries in all combinations, against comparing all pairs."""
+    from leadweave.llm import matching
+
+    rng = random.Random(12)
+    common, letters = ["tastoltorm", "krakervin", "lorvelbis"], "abcdefghiklmnoprstuvz"
+    rows, post, n = [], [], 2 * FULL + 20
+    for r in range(n):
+        words = {one_slip(rng, w) if rng.random() < 0.2 else w for w in rng.sample(common, rng.randrange(1, 3))}
+        words |= {"".join(rng.choice(letters) for _ in range(8))} if rng.random() < 0.6 else set()
+        key = " ".join(sorted({"".join(sorted(words))} if rng.random() < 0.1 else words))
+        for _ in range(rng.randrange(1, 4)):
+            rows.append((r, r % 3, firms.hash_of(key), key, rng.choice([None, 11, 12, 13, rng.randrange(100, 150)]), rng.choice([None, 21, 22])))
+        post += [(r, r % 3, 1)] + [(r, r % 3, 3)] * (r % 2) + [(r, r % 3, 4 + 2 * (r // 4))]
+    x = spark.createDataFrame(rows, "rec long, src byte, k long, key string, town long, land long")
+    p = spark.createDataFrame(post, "rec long, src byte, term long")
+    further = x.select("rec", F.explode(F.array_compact(F.concat(F.transform(F.split("key", " "), lambda w: F.xxhash64(w)), F.array("town", F.bitwise_not("land"))))).alias("term")).distinct()
+    total, strong = 5000, {"tastoltorm": 40, "krakervin": 300}
+    of = {r: {t for q, _, t in post if q == r} for r in range(n)}
+    size = Counter(t for s in of.values() for t in s)
+    weight = {t: math.log(1 + (total - c + 0.5) / (c + 0.5)) for t, c in size.items()}
+    pairs = [(a, b, sum(weight[t] for t in of[a] & of[b]), any(t % 2 for t in of[a] & of[b])) for a in range(n) for b in range(a + 1, n)]
+    everything = spark.createDataFrame(pairs, "a long, b long, essential float, same boolean")
+
+    def best(cand):
+        got = defaultdict(list)
+        for r in matching.scored(x, cand, strong, total).collect():
+            got[r.q, r.src_d].append((-round(r.score, 3), r.d, r.exact))
+        return {q: sorted(v)[:2] for q, v in got.items()}
+
+    some = candidates(p, further, total, matching.documents(x))
+    assert some.count() < len(pairs) and best(some) == best(everything)
+    # terms beyond all combinations: the list is met as a whole
+    matching.SUBSETS, kept = 1, matching.SUBSETS
+    try:
+        assert best(candidates(p, further, total, matching.documents(x))) == best(everything)
+    finally:
+        matching.SUBSETS = kept
+
+
 def test_closed_matches_of_one_reading():
     from leadweave.llm.matching import PAIRS
 
