@@ -168,29 +168,37 @@ class Reader:
         self.generic, self.known, self.strong = generic, known, known.counts
         self.read = self._read
         self.plain = lru_cache(1 << 18)(lambda w: len(w) < 3 or w in generic)
-        self.pair = lru_cache(1 << 18)(self._pair)
+        #: Strong and sound, so it stands for itself.
+        self.good = lru_cache(1 << 18)(lambda w: len(w) > 2 and w in self.strong and w not in generic and known.sound(w))
+        #: What a word adds to a reading: nothing, itself or the two words it is joined of.
+        self.pieces = lru_cache(1 << 18)(lambda w: () if len(w) < 3 or w in generic else known.apart(w) if len(w) >= 8 else (w,))
+        self.pair = self._pair
         self.fixed = self._fixed
 
     def core(self, ws: list[str], against: list[str]) -> tuple[str, ...]:
         """Identifying words, sorted, joined ones apart; beyond two, only those that are strong or near a word of another
         column. One short word alone must stand in another column as well."""
-        c = []
-        for w in dict.fromkeys(ws):
-            if len(w) > 2 and w not in self.generic:
-                c += self.known.apart(w) if len(w) >= 8 else (w,)
-        c = list(dict.fromkeys(c))
+        pieces, c = self.pieces, []
+        for w in ws:
+            for x in pieces(w):
+                if x not in c:
+                    c.append(x)
+        if len(c) < 2:
+            return () if not c or (len(c[0]) < 8 and c[0] not in against) else (c[0],)
         if len(c) > 2:
-            sure = [w for w in c if w in self.strong or any(near_words(w, v) for v in against)]
+            strong = self.strong
+            sure = [w for w in c if w in strong or any(near_words(w, v) for v in against)]
             c = sure if len(sure) >= 2 else c
-        if len(c) == 1 and len(c[0]) < 8 and c[0] not in against:
-            return ()
-        return tuple(sorted(c))
+        c.sort()
+        return tuple(c)
 
     def _pair(self, text: str) -> tuple[str, ...] | None:
         """Two sound identifying words, sorted, if that is what the words of a column are."""
         w = text.split(" ")
-        if len(w) == 2 and w[0] != w[1] and not any(map(self.plain, w)) and all(x in self.strong and self.known.sound(x) for x in w):
-            return tuple(sorted(w))
+        if len(w) == 2:
+            a, b = w
+            if a != b and self.good(a) and self.good(b):
+                return (a, b) if a < b else (b, a)
         return None
 
     def _read(self, names: str, sites: str, mails: str) -> tuple[tuple[str, ...], list[tuple[str, ...]]]:
@@ -208,10 +216,12 @@ class Reader:
                     return pair, []
         elif names and not sites and not mails:
             w = tuple(sorted(x for x in names.split(" ") if not self.plain(x)))
-            if len(w) == 2 and all(x in self.strong and self.known.sound(x) for x in w):
+            if len(w) == 2 and self.good(w[0]) and self.good(w[1]):
                 return w, []
+        alike = sites == mails
         names, sites, mails = names.split(), sites.split(), mails.split()
-        n, s, m = self.core(names, sites + mails), self.core(sites, names + mails), self.core(mails, names + sites)
+        n, s = self.core(names, sites + mails), self.core(sites, names + mails)
+        m = s if alike else self.core(mails, names + sites)
         found = [(r, p) for p, r in enumerate((s, n, m)) if r]
         if not found:
             return (), []

@@ -63,8 +63,7 @@ def reading_terms(reader: firms.Reader, key: tuple[str, ...], others, *places) -
     """Essential terms of a row: each reading and what it can be a slip of, its address and site (hashes). A reading with a
     word that isn't established has also the terms that stay equal when that word holds a slip or when its words are
     written together. Terms of addresses and sites are odd, all others even."""
-    sound = reader.known.sound
-    if not others and not [w for w in key if not sound(w)]:
+    if not others and all(map(reader.known.sound, key)):
         return [firms.hash_of(" ".join(key)) & ~1, *[p | 1 for p in places[1:] if p]]
     out = set()
     for r in (key, *others):

@@ -394,6 +394,14 @@ def test_readings():
     assert firms.Words([]).of("4you GmbH", "office2@4you.co.uk", "www.shop.4you.co.uk")[:5] == ("4you gmbh", "4you", "4you", "office2@4you.co.uk", "4you.co.uk")
 
 
+def test_equal_columns_are_read_once():
+    r, calls = firms.Reader(frozenset({"gmbh"}), Spelling({"krakervin": 50, "tastoltorm": 60})), []
+    core = r.core
+    r.core = lambda ws, against: calls.append(ws) or core(ws, against)
+    got = r.read("krakervim tastoltorm gmbh", "krakervintastoltorm nord", "krakervintastoltorm nord")
+    assert len(calls) == 2 and got == r.read("krakervim tastoltorm gmbh", "krakervintastoltorm nord", "nord krakervintastoltorm") and len(calls) == 5
+
+
 def test_a_slip_leaves_a_common_term():
     rng = random.Random(8)
     letters = "abcdefghiklmnoprstuvz"
