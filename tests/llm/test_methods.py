@@ -232,6 +232,39 @@ def test_skipped_searches_change_no_share(matrix, monkeypatch):
     assert faint.judge("a b c x y z")[0] == (0.0, 0.0, 0.0)
 
 
+def test_repeated_work_is_done_once(monkeypatch):
+    rng = random.Random(17)
+    vocab = [f"t{int(rng.paretovariate(0.8))}" for _ in range(80)]
+    text = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    examples = {text(rng.randrange(2, 9)): rng.choice([[0, 0, 0, 1], [1, 0, 0, 0], [0, 0.5, 1, 0]]) for _ in range(500)}
+    frequency = Counter(t for p in examples for t in set(p.split(" ")))
+    queries = [text(rng.randrange(1, 10)) for _ in range(200)]
+    model, searched = safety.Model(examples, frequency, len(examples)), Counter()
+    plain = [model.all.nearest(model.all.weights(tuple(p.split(" "))), k) for p in queries for k in (1, 12)]
+    # adding up all at once finds what the lists' blocks find
+    monkeypatch.setattr(safety, "PLAIN", 0)
+    blocks = [model.all.nearest(model.all.weights(tuple(p.split(" "))), k) for p in queries for k in (1, 12)]
+    assert all(np.allclose([c for c, _ in x], [c for c, _ in y]) for x, y in zip(plain, blocks, strict=True))
+    search = model.all.nearest
+    model.all.nearest = lambda q, k, *radius: searched.update([k]) or search(q, k, *radius)
+    # neighbours are the same whosever votes are left out
+    p = next(p for p in model.texts if examples[p] == [1, 0, 0, 0])
+    one, two = model.judge(p, np.zeros(4)), model.judge(p, np.array([0.5, 0, 0, 0]))
+    assert searched[model.k] == 1 and one != two
+    # other votes, the same index
+    assert safety.Model({p: [1, 0, 0, 0] for p in examples}, frequency, len(examples), before=model).all is model.all
+    assert safety.Model(examples, frequency, len(examples) + 1, before=model).all is not model.all
+    # rough cosines show that a faint vote far away can't count: nothing is searched
+    faint = safety.Model({"a b c d e f": [0.1, 0, 0, 0], "g h i j k l": [0, 0, 0, 1]}, {}, 9)
+    faint.some.nearest = faint.all.nearest = None
+    assert faint.judge("a b c x y z")[0] == (0.0, 0.0, 0.0)
+    # a line that many documents hold is folded once, markup over several lines is seen as before
+    folded, seen = safety.folded, Counter()
+    monkeypatch.setattr(safety, "folded", lambda t: seen.update([t]) or folded(t))
+    assert safety.passages("Only here ö. &lt;a. href=x&gt;\nOnly here ö.") == [("only", "here", "ö")] * 2
+    assert seen["Only here ö."] == 1
+
+
 def test_labels_are_believed_as_far_as_others_bear_them_out():
     own = np.array([1.0, 0.0, 0.0, 0.0])
     # the second passage explains the label; the others vote for none
