@@ -42,7 +42,7 @@ def name_words(name: str | None) -> list[str]:
     if t.isascii():
         if not (t.islower() or t.isupper()):
             t = _CAPITAL.sub(" \\g<0>", t)
-        return list(dict.fromkeys(w for w in _TOKEN.findall(t.lower()) if not w.isdigit()))
+        return list(dict.fromkeys([w for w in _TOKEN.findall(t.lower()) if not w.isdigit()]))
     t = unicodedata.normalize("NFC", unmojibake(t))
     if _INNER.search(t):
         t = "".join(" " + c if c.isupper() and k and t[k - 1].islower() and t[k + 1 : k + 2].islower() else c for k, c in enumerate(t))
@@ -70,12 +70,13 @@ class Words:
         """(name words, site words, mail words, address, site, hash of the name without writing)."""
         address, kind, text, host = self.parser.parse(email, site)
         label = host.partition(".")[0] if host else ""
-        n = (name or "") if self.canon else ""
-        if n.isascii():
-            letters = "" if n.strip().lower() in PLACEHOLDERS else "".join(_TOKEN.findall(n.lower()))
-        else:
-            letters = canon_word(n)
-        canon = xxhash.xxh64_intdigest(letters) >> 1 if letters else 0
+        canon = 0
+        if self.canon and name:
+            if name.isascii():
+                letters = "" if name.strip().lower() in PLACEHOLDERS else "".join(_TOKEN.findall(name.lower()))
+            else:
+                letters = canon_word(name)
+            canon = xxhash.xxh64_intdigest(letters) >> 1 if letters else 0
         sites = _label_words(label) if label else ""
         mails = "" if not text else _mail_words(text) if kind == "p" else sites if text == label else _label_words(text)
         return " ".join(name_words(name)), sites, mails, address, host, canon
@@ -104,10 +105,12 @@ def sides(x: DataFrame, least: int = 5, share: int = 50_000) -> tuple[frozenset[
     """
     other, own = F.concat("sites", F.lit(" "), "mails"), F.replace("names", F.lit(" "), F.lit(""))
     squeezed = F.concat(F.replace("sites", F.lit(" "), F.lit("")), F.lit(" "), F.replace("mails", F.lit(" "), F.lit("")))
-    beside = F.expr("shiftleft(1L, cast(pmod(xxhash64(array_sort(split(names, ' '))), 64L) as int))")
+    beside = F.expr("shiftleft(1L, cast(pmod(xxhash64(sort_array(split(names, ' '))), 64L) as int))")
 
     def side(words: Column, text: Column) -> DataFrame:
-        y = x.select(F.explode(F.array_distinct(F.split(words, " "))).alias("w"), F.trim(text).alias("t"), beside.alias("c")).filter(F.length("w") > 2)
+        # the texts once a row, not once a word; outer, else a filter before it splits the words two more times
+        y = x.select(F.array_distinct(F.split(words, " ")).alias("ws"), F.trim(text).alias("t"), beside.alias("c"))
+        y = y.select(F.explode_outer("ws").alias("w"), "t", "c").filter(F.length("w") > 2)
         there = F.col("t") != ""
         return y.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count_if(there).alias("both"), F.count_if(there & F.contains("t", "w")).alias("hit"), F.bit_count(F.bit_or("c")).alias("c"))
 

@@ -294,14 +294,22 @@ class Parser:
         for p in providers:
             heads.setdefault(p[:4], []).append(p)
             tails.setdefault(len(p[5:]), {}).setdefault(p[5:], []).append(p)
+        begins, ends = tuple(heads), tuple({p[5:] for p in providers})
 
         def like(host: str) -> bool:
             if host in self.providers:
                 return True
+            if not host.startswith(begins) and not host.endswith(ends):
+                return False
             near = heads.get(host[:4], []) + [p for k, at in tails.items() for p in at.get(host[-k:] if k else "", ())]
             return any(damerau(host, p, 1) <= 1 for p in near)
 
-        self.at_provider = lru_cache(1 << 16)(like)
+        def parts(host: str) -> tuple[bool, str, str | None]:
+            at, s = like(host), registered(host, self.second)
+            return at, name_label(host), None if not host or (at if s == host else at or like(s)) else s
+
+        #: Of a host: whether it is a provider's, its label, and :meth:`site`. Most mail addresses are at the row's site.
+        self.parts = lru_cache(1 << 16)(parts)
         self.parse = self._parse
 
     def mailbox(self, mail: str) -> tuple[str | None, str | None, str | None]:
@@ -310,13 +318,12 @@ class Parser:
         local, host = local.split("+", 1)[0], host.rpartition("@")[2]
         if not local or not host:
             return None, None, None
-        at = self.at_provider(host)
-        return f"{local}@{host}", "p" if at else "h", local if at else name_label(host)
+        at, label, _ = self.parts(host)
+        return f"{local}@{host}", "p" if at else "h", local if at else label
 
     def site(self, host: str) -> str | None:
         """Host without subdomains; None for a provider's."""
-        s = registered(host, self.second)
-        return None if not host or self.at_provider(s) or (s != host and self.at_provider(host)) else s
+        return self.parts(host)[2]
 
     @staticmethod
     def split(value: str | None) -> tuple[str, str]:
@@ -327,7 +334,8 @@ class Parser:
         if v[0] in _EDGES or v[-1] in _EDGES:
             v = v.strip(_EDGES)
         if v.isascii():
-            if m := _WEB.fullmatch(v):
+            # a web address has an @ behind a slash only, a mail address has no slash
+            if ("@" not in v or "/" in v) and (m := _WEB.fullmatch(v)):
                 return ("", m[1]) if v != "none" else ("", "")
             if m := _MAIL.fullmatch(v):
                 return f"{m[1]}@{m[2]}", ""

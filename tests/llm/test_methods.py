@@ -265,6 +265,27 @@ def test_repeated_work_is_done_once(monkeypatch):
     assert seen["Only here ö."] == 1
 
 
+def test_rows_are_cut_without_repeated_work(spark):
+    # a mail address at the row's site asks for that host once; what can't be a provider's slip isn't compared with any
+    parser = known.Parser(["gmail.com", "gmx.de"])
+    assert parser.parse("a.b@mueller-steuer.de", "www.mueller-steuer.de") == ("a.b@mueller-steuer.de", "h", "mueller-steuer", "mueller-steuer.de")
+    assert (parser.parts.cache_info().misses, parser.parts.cache_info().hits) == (1, 1)
+    assert parser.parse("a@gmial.com", "x.gmx.de") == ("a@gmial.com", "p", "a", None)
+    assert parser.parse("x.com/@a", "a+tag@b.co") == ("a@b.co", "h", "b", "x.com")
+    assert [parser.site(h) for h in ("", "gmx.de", "a.gmx.de", "a.b.co.uk")] == [None, None, None, "b.co.uk"]
+    # words are told by texts made once a row: no filter splits them again
+    rows = [("mueller steuer", "mueller", "mueller info", 0), ("maier steuer", "", "maier info", 0), ("", "", "", 0)] * 3
+    x = spark.createDataFrame(rows, "names string, sites string, mails string, canon long")
+    assert firms.sides(x, least=2) == (frozenset(), {"mueller": 6, "maier": 6, "steuer": 6, "info": 6}, 9)
+    plans, table = [], type(x).collect
+    type(x).collect = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or table(df)
+    try:
+        firms.sides(x, least=2)
+    finally:
+        type(x).collect = table
+    assert plans and not any("size(array_distinct" in p for p in plans)
+
+
 def test_labels_are_believed_as_far_as_others_bear_them_out():
     own = np.array([1.0, 0.0, 0.0, 0.0])
     # the second passage explains the label; the others vote for none
